@@ -49,7 +49,7 @@ def parse_date_any(c: "Column | str", formats: Sequence[str] = GAME_DATE_FORMATS
     fails; here only the failing rows are NULL and go to a reject table.
     """
     col = as_col(c)
-    return F.coalesce(*[F.try_to_date(col, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(col, f) for f in formats])
 
 
 def try_ts(c: "Column | str") -> Column:

@@ -92,3 +92,256 @@ QUERIES = {
     "interval_attribution": q_interval_attribution,
     "daily_summary": q_daily_summary,
 }
+
+
+# -- P1 P2 P3 ----------------------------------------------------------------
+def q_conform_projection(spark: SparkSession, d: str) -> DataFrame:
+    return conform(table(spark, d, "orders"), [
+        ("o_orderkey", "order_id", "string"), ("o_custkey", "customer_id", "string"),
+        ("o_orderstatus", "status", None), ("o_totalprice", "total_price", None),
+        ("o_orderdate", "order_date", "date"), ("o_orderpriority", "priority", None)])
+
+
+# -- P4 / P5 F6 F7 ---------------------------------------------------------------
+def q_since_run_date(spark: SparkSession, d: str) -> DataFrame:
+    return since(table(spark, d, "events"), "ts", RUN_DT).select("event_id", "ts", "user_id", "event_type")
+
+
+def q_since_lookback(spark: SparkSession, d: str) -> DataFrame:
+    ev = since(table(spark, d, "events"), "ts", RUN_DT, lookback_days=1)
+    return ev.select("event_id", "ts", F.to_date("ts").alias("created_date"))
+
+
+# -- F1 F15 P11 --------------------------------------------------------------------
+def _clock_text(ev: DataFrame) -> DataFrame:
+    mins = F.minute("ts") + F.pmod(F.col("event_id"), F.lit(3)) * 60
+    txt = F.concat(mins.cast("string"), F.lit(":"), F.lpad(F.second("ts").cast("string"), 2, "0"))
+    return ev.select("event_id", F.when(F.pmod(F.col("event_id"), F.lit(7)) == 0, F.lit(None))
+                     .otherwise(txt).alias("min_sec"))
+
+
+def q_mmss_seconds(spark: SparkSession, d: str) -> DataFrame:
+    ev = _clock_text(table(spark, d, "events"))
+    return ev.select("event_id", "min_sec", parse.mmss_to_seconds("min_sec").alias("seconds_played"))
+
+
+# -- F9 P10 ------------------------------------------------------------------------
+def q_opponent_and_venue(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.operators.joins import broadcast_if_small
+    nation = broadcast_if_small(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    c = table(spark, d, "customer").select(
+        "c_custkey", "c_nationkey",
+        F.pmod(F.col("c_nationkey") + 1 + F.pmod(F.col("c_custkey"), F.lit(24)), F.lit(25)).alias("opp_key"))
+    home = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("team"))
+    opp = nation.select(F.col("n_nationkey").alias("opp_key"), F.col("n_name").alias("opp_name"))
+    j = c.join(home, "c_nationkey").join(opp, "opp_key")
+    sep = F.when(F.pmod(F.col("c_custkey"), F.lit(2)) == 0, F.lit(" vs. ")).otherwise(F.lit(" @ "))
+    matchup = F.when(F.pmod(F.col("c_custkey"), F.lit(50)) == 0, F.lit(None).cast("string")) \
+               .otherwise(F.concat("team", sep, "opp_name"))
+    j = j.select("c_custkey", "team", matchup.alias("matchup"))
+    return j.select("c_custkey", "team", "matchup",
+                    parse.opponent("matchup", "team").alias("opponent_team"),
+                    labels.travel_status("matchup").alias("travel_status"))
+
+
+# -- P8 P9 -------------------------------------------------------------------------
+def q_post_type_label(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    k = F.pmod(F.col("doc_id"), F.lit(5))
+    tag = (F.when(k == 0, F.lit("[Highlight] ")).when(k == 1, F.lit("[Post Game Thread] "))
+            .when(k == 2, F.lit("[Post Game Thread] [Highlight] ")).when(k == 3, F.lit("[highlight] "))
+            .otherwise(F.lit("")))
+    return docs.select("doc_id", labels.post_type(F.concat(tag, F.col("text"))).alias("post_type"))
+
+
+# -- F10 ---------------------------------------------------------------------------
+def q_multi_format_date(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    k = F.pmod(F.col("o_orderkey"), F.lit(4))
+    raw = (F.when(k == 0, F.upper(F.date_format("o_orderdate", "MMM dd, yyyy")))
+            .when(k == 1, F.date_format("o_orderdate", "MM/dd/yyyy"))
+            .when(k == 2, F.date_format("o_orderdate", "yyyy-MM-dd"))
+            .when(F.pmod(F.col("o_orderkey"), F.lit(7)) == 0, F.lit("not a date"))
+            .otherwise(F.date_format("o_orderdate", "M/d/yyyy")))
+    o = o.select("o_orderkey", raw.alias("raw_date"))
+    return o.select("o_orderkey", "raw_date", parse.parse_date_any("raw_date").alias("game_date"))
+
+
+# -- F11 F12 -----------------------------------------------------------------------
+def q_local_to_utc(spark: SparkSession, d: str) -> DataFrame:
+    ev = table(spark, d, "events")
+    wall = F.col("ts") + F.expr("INTERVAL 306 DAYS")   # lands in November: DST fall-back
+    est = F.when(F.pmod(F.col("event_id"), F.lit(53)) == 0, F.lit("not a time")) \
+           .otherwise(F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+    ev = ev.select("event_id", est.alias("est_text"))
+    return ev.select("event_id", "est_text",
+                     parse.local_to_utc("est_text").cast("timestamp_ntz").alias("utc_start_time"))
+
+
+# -- F13 ---------------------------------------------------------------------------
+def q_season_label(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select(
+        "o_orderkey", parse.season_label(F.to_date("o_orderdate")).alias("season_year"))
+
+
+# -- S3 F14 ------------------------------------------------------------------------
+def q_epoch_to_ts(spark: SparkSession, d: str) -> DataFrame:
+    ev = table(spark, d, "events").select(
+        "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch_s"))
+    return ev.select("event_id", "epoch_s",
+                     parse.epoch_to_ts("epoch_s").cast("timestamp_ntz").alias("created_utc"))
+
+
+def q_land_posts(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.sources.landing import land_posts
+    docs = table(spark, d, "documents")
+    fetched = docs.select(
+        F.col("doc_id").cast("string").alias("post_id"), F.col("source").alias("subreddit"),
+        F.col("lang").alias("title"), F.col("n_chars").alias("score"),
+        F.pmod(F.col("doc_id"), F.lit(97)).alias("num_comments"),
+        (F.lit(1704067200) + F.pmod(F.col("doc_id"), F.lit(1000)) * 2580).alias("created_utc"),
+        F.concat(F.lit("post/"), F.col("doc_id").cast("string")).alias("url"),
+        F.col("source").alias("selftext"))
+    landed = land_posts(fetched, adapters.LOAD_TS, as_of=_dt.datetime(2024, 1, 20), lookback_hours=48)
+    return landed.select("post_id", "score", "num_comments",
+                         F.col("created_utc").cast("timestamp_ntz").alias("created_utc"),
+                         F.col("_loaded_at_utc").cast("timestamp_ntz").alias("_loaded_at_utc"))
+
+
+# -- S9 ----------------------------------------------------------------------------
+def q_json_key_presence(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.sources.schedule import has_key
+    ev = table(spark, d, "events")
+    k = F.pmod(F.col("event_id"), F.lit(3))
+    doc = (F.when(k == 0, F.col("props")).when(k == 1, F.lit('{"k": null}'))
+            .otherwise(F.lit('{"j": 1}')))
+    ev = ev.select("event_id", doc.alias("doc"))
+    return ev.select("event_id", has_key("doc", "k").alias("has_k"),
+                     F.get_json_object("doc", "$.k").alias("k_value"))
+
+
+# -- S6 S7 S8 ------------------------------------------------------------------------
+def schedule_docs(spark: SparkSession, d: str) -> DataFrame:
+    """One schedule document per event, with absent / null / malformed
+    parts chosen by ``event_id``."""
+    ev = table(spark, d, "events")
+    m = lambda n: F.pmod(F.col("event_id"), F.lit(n))
+    team = lambda off: F.struct(
+        F.concat(F.lit("T"), F.pmod(F.col("user_id") + off, F.lit(30)).cast("string")).alias("teamName"),
+        F.pmod(F.col("user_id") + off, F.lit(30)).alias("teamId"))
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+    game = F.struct(
+        F.col("event_id").cast("string").alias("gameId"),
+        F.when(m(5) != 0, F.concat(F.lit("2"), F.year("ts").cast("string"))).alias("seasonId"),
+        F.col("event_type").alias("gameStatusText"),
+        F.when(m(4) != 0, F.concat(F.lit("Arena "), F.col("user_id").cast("string"))).alias("arenaName"),
+        F.concat(F.lit("City "), F.pmod(F.col("user_id"), F.lit(10)).cast("string")).alias("arenaCity"),
+        team(0).alias("homeTeam"),
+        F.when(m(89) != 0, team(7)).alias("awayTeam"),
+        F.when((m(3) == 0) & (m(31) != 0),
+               F.concat(F.date_format("ts", iso), F.lit("Z"))).alias("gameDateTimeUTC"),
+        F.when(m(3) == 1, F.concat(F.date_format(F.col("ts") - F.expr("INTERVAL 5 HOURS"), iso),
+                                   F.lit("Z"))).alias("gameDateTimeEst"))
+    day = (F.when(m(97) == 0, F.lit("garbage"))
+            .when(m(2) == 0, F.concat(F.date_format("ts", "MM/dd/yyyy"), F.lit(" 00:00:00")))
+            .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(" 00:00:00"))))
+    doc = F.to_json(F.struct(F.struct(F.array(F.struct(
+        day.alias("gameDate"), F.array(game).alias("games"))).alias("gameDates")).alias("leagueSchedule")))
+    # a key present with a null value (to_json drops null fields)
+    doc = F.when((m(3) == 0) & (m(31) == 0),
+                 F.replace(doc, F.lit('{"gameId":'), F.lit('{"gameDateTimeUTC":null,"gameId":'))) \
+           .otherwise(doc)
+    return ev.select(doc.alias("doc"))
+
+
+def _games_out(games: DataFrame) -> DataFrame:
+    return games.select(
+        "game_id", "season_id", F.col("game_date").cast("date").alias("game_date"),
+        "home_team", "home_team_id", "visitor_team", "visitor_team_id", "game_status",
+        F.col("utc_start_time").cast("timestamp_ntz").alias("utc_start_time"), "arena_name", "city")
+
+
+def q_json_flatten(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.sources.schedule import flatten_schedule
+    games, _ = flatten_schedule(schedule_docs(spark, d))
+    return _games_out(games)
+
+
+def q_json_flatten_rejects(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.sources.schedule import flatten_schedule
+    _, rejects = flatten_schedule(schedule_docs(spark, d))
+    return rejects.select("level", "raw_date", "reason",
+                          F.get_json_object("game", "$.gameId").alias("game_id"))
+
+
+def q_schedule_for_date(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.sources.schedule import flatten_schedule
+    games, _ = flatten_schedule(schedule_docs(spark, d), target_date=RUN_DT)
+    return _games_out(games)
+
+
+# -- F2 F3 -------------------------------------------------------------------------
+def q_clean_tokens(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", text.clean_title("text").alias("clean"))
+    toks = text.tokenize("clean")
+    return docs.select("doc_id", F.size(toks).alias("n_tokens"),
+                       F.size(F.filter(toks, lambda t: t == "")).alias("n_empty"),
+                       F.length("clean").alias("clean_chars"))
+
+
+# -- F4 F5 J2 ------------------------------------------------------------------------
+def q_ngrams_2_3(spark: SparkSession, d: str) -> DataFrame:
+    bm = table(spark, d, "benchmark")
+    g = bm.select("item_id", F.explode(text.ngrams(text.tokenize(text.clean_title("text")))).alias("g"))
+    g = g.select("item_id", F.lower("g").alias("ngram"), F.size(F.split("g", " ")).alias("n"))
+    return g.groupBy("item_id", "ngram", "n").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+# -- A1 ----------------------------------------------------------------------------
+def q_roster_distinct(spark: SparkSession, d: str) -> DataFrame:
+    gl = models.stage_game_logs(adapters.raw_game_logs(spark, d))
+    return roster(gl, "player_name")
+
+
+# -- J1 ----------------------------------------------------------------------------
+def q_left_join_schedule(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING") \
+        .select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    return o.join(c, "o_custkey", "left")
+
+
+# -- A3 A4 A5 A6 ---------------------------------------------------------------------
+def q_engagement_rollup(spark: SparkSession, d: str) -> DataFrame:
+    ev = table(spark, d, "events")
+    per = (ev.groupBy("user_id", "event_type", F.to_date("ts").alias("event_date"))
+             .agg(F.count_distinct("props").alias("posts_count"),
+                  F.sum(F.pmod(F.col("event_id"), F.lit(97))).alias("total_comments"),
+                  F.count(F.lit(1)).alias("n_events")))
+    return per.groupBy("event_type").agg(F.sum("posts_count").alias("post_count"),
+                                         F.sum("total_comments").alias("total_comments"),
+                                         F.sum("n_events").alias("n_events"))
+
+
+QUERIES.update({
+    "conform_projection": q_conform_projection,
+    "since_run_date": q_since_run_date,
+    "since_lookback": q_since_lookback,
+    "mmss_seconds": q_mmss_seconds,
+    "opponent_and_venue": q_opponent_and_venue,
+    "post_type_label": q_post_type_label,
+    "multi_format_date": q_multi_format_date,
+    "local_to_utc": q_local_to_utc,
+    "season_label": q_season_label,
+    "epoch_to_ts": q_epoch_to_ts,
+    "land_posts": q_land_posts,
+    "json_key_presence": q_json_key_presence,
+    "json_flatten": q_json_flatten,
+    "json_flatten_rejects": q_json_flatten_rejects,
+    "schedule_for_date": q_schedule_for_date,
+    "clean_tokens": q_clean_tokens,
+    "ngrams_2_3": q_ngrams_2_3,
+    "roster_distinct": q_roster_distinct,
+    "left_join_schedule": q_left_join_schedule,
+    "engagement_rollup": q_engagement_rollup,
+})

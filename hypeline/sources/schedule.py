@@ -38,8 +38,8 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
                 .select(F.explode("__d.leagueSchedule.gameDates").alias("__day"))
                 .select(F.col("__day.gameDate").alias("raw_date"), F.col("__day.games").alias("games")))
     date_part = F.split(F.col("raw_date"), " ")[0]
-    day = F.when(date_part.contains("/"), F.try_to_date(date_part, F.lit("M/d/yyyy"))) \
-           .otherwise(F.try_to_date(date_part, F.lit("yyyy-M-d")))
+    day = F.when(date_part.contains("/"), F.try_to_date(date_part, "M/d/yyyy")) \
+           .otherwise(F.try_to_date(date_part, "yyyy-M-d"))
     days = days.withColumn("__date", day)
 
     bad_days = days.where(F.col("__date").isNull()).select(

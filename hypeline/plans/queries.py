@@ -345,3 +345,107 @@ QUERIES.update({
     "left_join_schedule": q_left_join_schedule,
     "engagement_rollup": q_engagement_rollup,
 })
+
+
+# -- sinks: K1-K10 ------------------------------------------------------------------
+def _event_rows(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select(
+        "event_id", "user_id", "event_type", "value", F.to_date("ts").alias("event_date"))
+
+
+def _event_schema():
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                         T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+                         T.StructField("event_date", T.DateType())])
+
+
+def _batch2(spark: SparkSession, d: str) -> DataFrame:
+    """Second load: every third event from RUN_DT on, with a new value."""
+    ev = since(_event_rows(spark, d), "event_date", RUN_DT)
+    return ev.where(F.pmod(F.col("event_id"), F.lit(3)) == 0) \
+             .withColumn("value", F.col("value") + F.lit(1000.0))
+
+
+def q_union_additive(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.sources.landing import union_batches
+    ev = table(spark, d, "events")
+    odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
+    return union_batches([ev.where(~odd).select("event_id", "event_type", "value"),
+                          ev.where(odd).select("event_id", "event_type")])
+
+
+def q_append_evolve(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.session import scratch_path
+    from hypeline.sinks import append, read_table
+    ev = table(spark, d, "events")
+    odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
+    path = scratch_path(spark, "append_evolve")
+    append(ev.where(~odd).select("event_id", "event_type", "value"), path)
+    append(ev.where(odd).select("event_id", "event_type", "value", "props"), path)
+    return read_table(spark, path, merge_schema=True)
+
+
+def q_empty_overwrite_noop(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.session import scratch_path
+    from hypeline.sinks import overwrite, read_table
+    orders = table(spark, d, "orders")
+    path = scratch_path(spark, "overwrite")
+    overwrite(orders, path)
+    if overwrite(orders.where(F.lit(False)), path):
+        raise AssertionError("an empty batch must not truncate")
+    return read_table(spark, path, orders.schema)
+
+
+def q_full_refresh_clustered(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.session import scratch_path
+    from hypeline.sinks import materialize_table, read_table
+    orders = table(spark, d, "orders")
+    path = scratch_path(spark, "full_refresh")
+    materialize_table(orders, path, ["o_orderpriority"], ["o_custkey", "o_orderkey"])
+    return read_table(spark, path, orders.schema)
+
+
+def q_insert_overwrite_days(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.session import scratch_path
+    from hypeline.sinks import insert_overwrite, read_table
+    path = scratch_path(spark, "insert_overwrite")
+    insert_overwrite(_event_rows(spark, d), path, "event_date")
+    insert_overwrite(_batch2(spark, d), path, "event_date")
+    return read_table(spark, path, _event_schema())
+
+
+def q_merge_upsert(spark: SparkSession, d: str) -> DataFrame:
+    from hypeline.session import scratch_path
+    from hypeline.sinks import merge_upsert, read_table
+    path = scratch_path(spark, "merge")
+    first = _event_rows(spark, d).where(F.pmod(F.col("event_id"), F.lit(2)) == 0)
+    merge_upsert(spark, first, path, ["event_id"], partition_col="event_date")
+    merge_upsert(spark, _batch2(spark, d), path, ["event_id"], partition_col="event_date")
+    return read_table(spark, path, _event_schema())
+
+
+def q_merge_vs_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """Same initial table and batch under both strategies: insert_overwrite
+    drops a day's rows absent from the batch, merge keeps them."""
+    from hypeline.session import scratch_path
+    from hypeline.sinks import insert_overwrite, merge_upsert, read_table
+    p_io, p_m = scratch_path(spark, "vs_io"), scratch_path(spark, "vs_merge")
+    insert_overwrite(_event_rows(spark, d), p_io, "event_date")
+    insert_overwrite(_batch2(spark, d), p_io, "event_date")
+    merge_upsert(spark, _event_rows(spark, d), p_m, ["event_id"], partition_col="event_date")
+    merge_upsert(spark, _batch2(spark, d), p_m, ["event_id"], partition_col="event_date")
+    io = read_table(spark, p_io, _event_schema()).withColumn("strategy", F.lit("insert_overwrite"))
+    m = read_table(spark, p_m, _event_schema()).withColumn("strategy", F.lit("merge"))
+    return io.unionByName(m).select("strategy", "event_id", "event_date", "value")
+
+
+QUERIES.update({
+    "union_additive": q_union_additive,
+    "append_evolve": q_append_evolve,
+    "empty_overwrite_noop": q_empty_overwrite_noop,
+    "full_refresh_clustered": q_full_refresh_clustered,
+    "insert_overwrite_days": q_insert_overwrite_days,
+    "merge_upsert": q_merge_upsert,
+    "merge_vs_overwrite": q_merge_vs_overwrite,
+})

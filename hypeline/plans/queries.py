@@ -449,3 +449,122 @@ QUERIES.update({
     "merge_upsert": q_merge_upsert,
     "merge_vs_overwrite": q_merge_vs_overwrite,
 })
+
+
+# -- staging models M1-M4 -----------------------------------------------------------
+LOAD2_TS = adapters.LOAD_TS + _dt.timedelta(days=1)
+
+
+def _second_load(df: DataFrame, cond, **changes) -> DataFrame:
+    out = df.where(cond)
+    for name, col in changes.items():
+        out = out.withColumn(name, col)
+    return out.withColumn("_loaded_at_utc", F.lit(LOAD2_TS).cast("timestamp_ntz"))
+
+
+def q_staged_game_logs(spark: SparkSession, d: str) -> DataFrame:
+    raw = adapters.raw_game_logs(spark, d)
+    raw = raw.unionByName(_second_load(raw, F.pmod(F.col("GAME_ID").cast("bigint"), F.lit(4)) == 0,
+                                       MIN=F.col("MIN") + F.lit(1.0)))
+    st = models.stage_game_logs(raw, RUN_DT, incremental=True)
+    return st.select("game_id", "player_id", "game_date", "minutes_played", "seconds_played",
+                     "_loaded_at_utc")
+
+
+def raw_player_list(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer")
+    return c.select(
+        F.col("c_custkey").alias("PERSON_ID"),
+        F.concat(F.col("c_name"), F.lit(", X")).alias("DISPLAY_LAST_COMMA_FIRST"),
+        F.col("c_name").alias("DISPLAY_FIRST_LAST"),
+        (F.lit(1990) + F.pmod(F.col("c_custkey"), F.lit(30))).cast("string").alias("FROM_YEAR"),
+        (F.lit(2000) + F.pmod(F.col("c_custkey"), F.lit(25))).cast("string").alias("TO_YEAR"),
+        F.lower("c_name").alias("PLAYERCODE"),
+        F.lit(adapters.LOAD_TS).cast("timestamp_ntz").alias("_loaded_at_utc"))
+
+
+def q_staged_player_list(spark: SparkSession, d: str) -> DataFrame:
+    raw = raw_player_list(spark, d)
+    raw = raw.unionByName(_second_load(raw, F.pmod(F.col("PERSON_ID"), F.lit(3)) == 0,
+                                       TO_YEAR=F.lit("2026")))
+    return models.stage_player_list(raw)
+
+
+def q_staged_schedule(spark: SparkSession, d: str) -> DataFrame:
+    raw = adapters.raw_schedule(spark, d)
+    raw = raw.unionByName(_second_load(raw, F.pmod(F.col("game_id").cast("bigint"), F.lit(5)) == 0,
+                                       utc_start_time=F.col("utc_start_time") + F.expr("INTERVAL 1 HOUR")))
+    return models.stage_schedule(raw, RUN_DT, incremental=True)
+
+
+def q_staged_posts(spark: SparkSession, d: str) -> DataFrame:
+    raw = adapters.raw_posts(spark, d)
+    raw = raw.unionByName(_second_load(raw, F.pmod(F.col("post_id").cast("bigint"), F.lit(2)) == 0,
+                                       score=F.col("score") + F.lit(100)))
+    st = models.stage_posts(raw, RUN_DT, incremental=True)
+    return st.select("post_id", "subreddit", "score", "num_comments", "url", "body",
+                     "created_utc", "created_date", "_loaded_at_utc")
+
+
+# -- M7: incremental runs over landed raw tables ------------------------------------
+RUN_DAYS = [_dt.date(2024, 1, 12), _dt.date(2024, 1, 13), _dt.date(2024, 1, 14), _dt.date(2024, 1, 15)]
+
+
+def _to_contract(df: DataFrame, schema) -> DataFrame:
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
+def land_static_fixture(spark: SparkSession, d: str, root: str) -> None:
+    """Raw game logs, schedule and roster under ``root`` (loaded once)."""
+    from hypeline.sinks import append, overwrite
+    from hypeline.sources.schemas import RAW_GAME_LOGS, RAW_PLAYER_LIST, RAW_SCHEDULE
+    raw = f"{root}/raw"
+    append(_to_contract(adapters.raw_game_logs(spark, d), RAW_GAME_LOGS), f"{raw}/nba_game_logs")
+    append(_to_contract(adapters.raw_schedule(spark, d), RAW_SCHEDULE), f"{raw}/nba_schedule")
+    overwrite(_to_contract(raw_player_list(spark, d), RAW_PLAYER_LIST), f"{raw}/nba_player_list")
+
+
+def land_post_load(spark: SparkSession, d: str, root: str, k: int) -> None:
+    """Post load ``k``: the first holds all history up to its load time,
+    later ones re-fetch the last 48 h with grown engagement."""
+    from hypeline.sinks import append
+    from hypeline.sources.schemas import RAW_POSTS
+    posts = adapters.raw_posts(spark, d)
+    load_ts = _dt.datetime.combine(RUN_DAYS[k], _dt.time(10))
+    at = F.lit(load_ts).cast("timestamp_ntz")
+    batch = rolling_lookback(posts, "created_utc", at, 48) if k else \
+        posts.where(F.col("created_utc") <= at)
+    batch = (batch.withColumn("score", F.col("score") + F.lit(10 * k))
+                  .withColumn("num_comments", F.col("num_comments") + F.lit(k))
+                  .withColumn("_loaded_at_utc", F.lit(load_ts)))
+    append(_to_contract(batch, RAW_POSTS), f"{root}/raw/reddit_nba_posts")
+
+
+def q_incremental_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Daily cycle: land the day's posts, then run the whole pipeline --
+    full refresh on the first day, incrementally on the next three.
+    Returns the staged posts."""
+    from hypeline.plans.pipeline import run
+    from hypeline.session import scratch_path
+    from hypeline.sinks import read_table
+    root = scratch_path(spark, "warehouse")
+    land_static_fixture(spark, d, root)
+    paths = {}
+    for k, day in enumerate(RUN_DAYS):
+        land_post_load(spark, d, root, k)
+        paths = run(spark, root, day, full_refresh=(k == 0),
+                    games_from=adapters.GAMES_FROM, posts_from=adapters.POSTS_FROM)
+    st = read_table(spark, paths["stg_reddit_nba_posts"])
+    return st.select("post_id", "score", "num_comments", "created_date",
+                     F.col("_loaded_at_utc").cast("timestamp_ntz").alias("_loaded_at_utc"))
+
+
+QUERIES.update({
+    "staged_game_logs": q_staged_game_logs,
+    "staged_player_list": q_staged_player_list,
+    "staged_schedule": q_staged_schedule,
+    "staged_posts": q_staged_posts,
+    "incremental_runs": q_incremental_runs,
+})

@@ -587,3 +587,26 @@ def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES["stream_landing"] = q_stream_landing
+
+
+# -- S5 S12 F10: game-log landing -------------------------------------------------------
+def q_game_log_load(spark: SparkSession, d: str) -> DataFrame:
+    """Three season-type batches (one lacking PLUS_MINUS, dates in three
+    spellings, some unparseable) -> union -> season load selection."""
+    from hypeline.sources.landing import land_game_logs, union_batches
+    raw = adapters.raw_game_logs(spark, d).drop("_loaded_at_utc")
+    k = F.pmod(F.col("GAME_ID").cast("bigint"), F.lit(3))
+    d0 = F.to_date("GAME_DATE")
+    regular = raw.where(k == 0)
+    playoffs = raw.where(k == 1).withColumn("GAME_DATE", F.upper(F.date_format(d0, "MMM dd, yyyy")))
+    preseason = (raw.where(k == 2).drop("PLUS_MINUS")
+                    .withColumn("GAME_DATE", F.when(F.pmod(F.col("GAME_ID").cast("bigint"), F.lit(7)) == 0,
+                                                    F.lit("TBD")).otherwise(F.date_format(d0, "MM/dd/yyyy"))))
+    rows, rejects, mode = land_game_logs(union_batches([regular, playoffs, preseason]),
+                                         adapters.LOAD_TS, season="2023-24")
+    assert mode == "overwrite"
+    return rows.select("GAME_ID", "GAME_DATE", "PLUS_MINUS", "SEASON_YEAR",
+                       F.col("_loaded_at_utc").cast("timestamp_ntz").alias("_loaded_at_utc"))
+
+
+QUERIES["game_log_load"] = q_game_log_load

@@ -46,18 +46,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created under the temp dir only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir`` (or an explicit
+    ``setCheckpointDir``).  Only where neither is set -- local tests -- a
+    temporary folder is created, once per application."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="hypeline-ckpt-")
-    # setCheckpointDir appends a per-application subfolder, so remember the
-    # folder we chose and hand it back unchanged on later calls.
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return spark.conf.get("spark.checkpoint.dir", None) or root
+    app = sc.applicationId
+    if app not in _ROOTS:
+        root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if not root:
+            root = tempfile.mkdtemp(prefix="hypeline-ckpt-")
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        _ROOTS[app] = root
+    return _ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

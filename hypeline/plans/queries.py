@@ -11,13 +11,14 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hypeline.functions import labels, parse, text
 from hypeline.operators import (
     attribute_to_interval,
+    broadcast_if_small,
     conform,
     latest_snapshot,
-    match_entities,
     roster,
     rolling_lookback,
     since,
@@ -25,6 +26,13 @@ from hypeline.operators import (
 )
 from hypeline.plans import adapters, models
 from hypeline.plans.adapters import table
+from hypeline.plans.pipeline import run
+from hypeline.session import scratch_path
+from hypeline.sinks import append, insert_overwrite, materialize_table, merge_upsert, overwrite, read_table
+from hypeline.sources.landing import land_game_logs, land_posts, union_batches
+from hypeline.sources.schedule import flatten_schedule, has_key
+from hypeline.sources.schemas import RAW_GAME_LOGS, RAW_PLAYER_LIST, RAW_POSTS, RAW_SCHEDULE
+from hypeline.streaming import land_stream
 
 RUN_DT = _dt.date(2024, 1, 15)
 
@@ -127,7 +135,6 @@ def q_mmss_seconds(spark: SparkSession, d: str) -> DataFrame:
 
 # -- F9 P10 ------------------------------------------------------------------------
 def q_opponent_and_venue(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.operators.joins import broadcast_if_small
     nation = broadcast_if_small(table(spark, d, "nation").select("n_nationkey", "n_name"))
     c = table(spark, d, "customer").select(
         "c_custkey", "c_nationkey",
@@ -193,7 +200,6 @@ def q_epoch_to_ts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_land_posts(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.sources.landing import land_posts
     docs = table(spark, d, "documents")
     fetched = docs.select(
         F.col("doc_id").cast("string").alias("post_id"), F.col("source").alias("subreddit"),
@@ -210,7 +216,6 @@ def q_land_posts(spark: SparkSession, d: str) -> DataFrame:
 
 # -- S9 ----------------------------------------------------------------------------
 def q_json_key_presence(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.sources.schedule import has_key
     ev = table(spark, d, "events")
     k = F.pmod(F.col("event_id"), F.lit(3))
     doc = (F.when(k == 0, F.col("props")).when(k == 1, F.lit('{"k": null}'))
@@ -262,20 +267,17 @@ def _games_out(games: DataFrame) -> DataFrame:
 
 
 def q_json_flatten(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.sources.schedule import flatten_schedule
     games, _ = flatten_schedule(schedule_docs(spark, d))
     return _games_out(games)
 
 
 def q_json_flatten_rejects(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.sources.schedule import flatten_schedule
     _, rejects = flatten_schedule(schedule_docs(spark, d))
     return rejects.select("level", "raw_date", "reason",
                           F.get_json_object("game", "$.gameId").alias("game_id"))
 
 
 def q_schedule_for_date(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.sources.schedule import flatten_schedule
     games, _ = flatten_schedule(schedule_docs(spark, d), target_date=RUN_DT)
     return _games_out(games)
 
@@ -354,7 +356,6 @@ def _event_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _event_schema():
-    from pyspark.sql import types as T
     return T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
                          T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
                          T.StructField("event_date", T.DateType())])
@@ -368,7 +369,6 @@ def _batch2(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_union_additive(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.sources.landing import union_batches
     ev = table(spark, d, "events")
     odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
     return union_batches([ev.where(~odd).select("event_id", "event_type", "value"),
@@ -376,8 +376,6 @@ def q_union_additive(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_append_evolve(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.session import scratch_path
-    from hypeline.sinks import append, read_table
     ev = table(spark, d, "events")
     odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
     path = scratch_path(spark, "append_evolve")
@@ -387,8 +385,6 @@ def q_append_evolve(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_empty_overwrite_noop(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.session import scratch_path
-    from hypeline.sinks import overwrite, read_table
     orders = table(spark, d, "orders")
     path = scratch_path(spark, "overwrite")
     overwrite(orders, path)
@@ -398,8 +394,6 @@ def q_empty_overwrite_noop(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_full_refresh_clustered(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.session import scratch_path
-    from hypeline.sinks import materialize_table, read_table
     orders = table(spark, d, "orders")
     path = scratch_path(spark, "full_refresh")
     materialize_table(orders, path, ["o_orderpriority"], ["o_custkey", "o_orderkey"])
@@ -407,8 +401,6 @@ def q_full_refresh_clustered(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_insert_overwrite_days(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.session import scratch_path
-    from hypeline.sinks import insert_overwrite, read_table
     path = scratch_path(spark, "insert_overwrite")
     insert_overwrite(_event_rows(spark, d), path, "event_date")
     insert_overwrite(_batch2(spark, d), path, "event_date")
@@ -416,8 +408,6 @@ def q_insert_overwrite_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_merge_upsert(spark: SparkSession, d: str) -> DataFrame:
-    from hypeline.session import scratch_path
-    from hypeline.sinks import merge_upsert, read_table
     path = scratch_path(spark, "merge")
     first = _event_rows(spark, d).where(F.pmod(F.col("event_id"), F.lit(2)) == 0)
     merge_upsert(spark, first, path, ["event_id"], partition_col="event_date")
@@ -428,8 +418,6 @@ def q_merge_upsert(spark: SparkSession, d: str) -> DataFrame:
 def q_merge_vs_overwrite(spark: SparkSession, d: str) -> DataFrame:
     """Same initial table and batch under both strategies: insert_overwrite
     drops a day's rows absent from the batch, merge keeps them."""
-    from hypeline.session import scratch_path
-    from hypeline.sinks import insert_overwrite, merge_upsert, read_table
     p_io, p_m = scratch_path(spark, "vs_io"), scratch_path(spark, "vs_merge")
     insert_overwrite(_event_rows(spark, d), p_io, "event_date")
     insert_overwrite(_batch2(spark, d), p_io, "event_date")
@@ -518,8 +506,6 @@ def _to_contract(df: DataFrame, schema) -> DataFrame:
 
 def land_static_fixture(spark: SparkSession, d: str, root: str) -> None:
     """Raw game logs, schedule and roster under ``root`` (loaded once)."""
-    from hypeline.sinks import append, overwrite
-    from hypeline.sources.schemas import RAW_GAME_LOGS, RAW_PLAYER_LIST, RAW_SCHEDULE
     raw = f"{root}/raw"
     append(_to_contract(adapters.raw_game_logs(spark, d), RAW_GAME_LOGS), f"{raw}/nba_game_logs")
     append(_to_contract(adapters.raw_schedule(spark, d), RAW_SCHEDULE), f"{raw}/nba_schedule")
@@ -529,8 +515,6 @@ def land_static_fixture(spark: SparkSession, d: str, root: str) -> None:
 def land_post_load(spark: SparkSession, d: str, root: str, k: int) -> None:
     """Post load ``k``: the first holds all history up to its load time,
     later ones re-fetch the last 48 h with grown engagement."""
-    from hypeline.sinks import append
-    from hypeline.sources.schemas import RAW_POSTS
     posts = adapters.raw_posts(spark, d)
     load_ts = _dt.datetime.combine(RUN_DAYS[k], _dt.time(10))
     at = F.lit(load_ts).cast("timestamp_ntz")
@@ -546,9 +530,6 @@ def q_incremental_runs(spark: SparkSession, d: str) -> DataFrame:
     """Daily cycle: land the day's posts, then run the whole pipeline --
     full refresh on the first day, incrementally on the next three.
     Returns the staged posts."""
-    from hypeline.plans.pipeline import run
-    from hypeline.session import scratch_path
-    from hypeline.sinks import read_table
     root = scratch_path(spark, "warehouse")
     land_static_fixture(spark, d, root)
     paths = {}
@@ -574,9 +555,6 @@ QUERIES.update({
 def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
     """Land ``events`` with the streaming file source (AvailableNow +
     foreachBatch), stamped with a fixed load time, and read the table back."""
-    from hypeline.session import scratch_path
-    from hypeline.sinks import read_table
-    from hypeline.streaming import land_stream
     schema = table(spark, d, "events").schema
     target, ckpt = scratch_path(spark, "stream_target"), scratch_path(spark, "stream_ckpt")
     land_stream(spark, d, schema, target, ckpt, glob="events.parquet",
@@ -593,7 +571,6 @@ QUERIES["stream_landing"] = q_stream_landing
 def q_game_log_load(spark: SparkSession, d: str) -> DataFrame:
     """Three season-type batches (one lacking PLUS_MINUS, dates in three
     spellings, some unparseable) -> union -> season load selection."""
-    from hypeline.sources.landing import land_game_logs, union_batches
     raw = adapters.raw_game_logs(spark, d).drop("_loaded_at_utc")
     k = F.pmod(F.col("GAME_ID").cast("bigint"), F.lit(3))
     d0 = F.to_date("GAME_DATE")

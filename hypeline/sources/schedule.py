@@ -20,9 +20,8 @@ def has_key(json_text: "Column | str", key: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(c), F.lit(key)), F.lit(False))
 
 
-def _optional(g: Column, parsed: Column, key: str, field: str) -> Column:
-    # Default '' only when the key is absent; a present null stays NULL.
-    return F.when(has_key(g, key), parsed[field]).otherwise(F.lit(""))
+def _in(keys: Column, key: str) -> Column:
+    return F.coalesce(F.array_contains(keys, F.lit(key)), F.lit(False))
 
 
 def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
@@ -50,12 +49,18 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
     if target_date is not None:
         good_days = good_days.where(F.col("__date") == F.lit(target_date).cast("date"))
     g = F.col("game")
+    # Parse each game once: its fields, and the key lists of the game and of
+    # both team objects (presence tests are then array lookups).
     games = (good_days.select("raw_date", "__date", F.explode("games").alias("game"))
-                      .withColumn("__g", F.from_json(g, SCHEDULE_GAME)))
-    home, away = F.get_json_object(g, "$.homeTeam"), F.get_json_object(g, "$.awayTeam")
-    required = (has_key(g, "gameId") & has_key(home, "teamName") & has_key(home, "teamId")
-                & has_key(away, "teamName") & has_key(away, "teamId"))
-    has_utc, has_est = has_key(g, "gameDateTimeUTC"), has_key(g, "gameDateTimeEst")
+                      .select("raw_date", "__date", "game",
+                              F.from_json(g, SCHEDULE_GAME).alias("__g"),
+                              F.json_object_keys(g).alias("__k"),
+                              F.json_object_keys(F.get_json_object(g, "$.homeTeam")).alias("__hk"),
+                              F.json_object_keys(F.get_json_object(g, "$.awayTeam")).alias("__ak")))
+    k, hk, ak = F.col("__k"), F.col("__hk"), F.col("__ak")
+    required = (_in(k, "gameId") & _in(hk, "teamName") & _in(hk, "teamId")
+                & _in(ak, "teamName") & _in(ak, "teamId"))
+    has_utc, has_est = _in(k, "gameDateTimeUTC"), _in(k, "gameDateTimeEst")
     est = local_to_utc(F.col("__g.gameDateTimeEst"))
     games = games.withColumn("__reason", F.when(~required, F.lit("missing required key"))
                              .when(~has_utc & has_est & est.isNull(), F.lit("bad gameDateTimeEst")))
@@ -64,18 +69,23 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
         F.lit("game").alias("level"), F.col("raw_date"), g, F.col("__reason").alias("reason"))
 
     p = F.col("__g")
+
+    def optional(key: str) -> Column:
+        # Default '' only when the key is absent; a present null stays NULL.
+        return F.when(_in(k, key), p[key]).otherwise(F.lit(""))
+
     out = games.where(F.col("__reason").isNull()).select(
         p["gameId"].alias("game_id"),
-        _optional(g, p, "seasonId", "seasonId").alias("season_id"),
+        optional("seasonId").alias("season_id"),
         F.col("__date").cast("timestamp").alias("game_date"),
         p["homeTeam"]["teamName"].alias("home_team"),
         p["homeTeam"]["teamId"].alias("home_team_id"),
         p["awayTeam"]["teamName"].alias("visitor_team"),
         p["awayTeam"]["teamId"].alias("visitor_team_id"),
-        _optional(g, p, "gameStatusText", "gameStatusText").alias("game_status"),
+        optional("gameStatusText").alias("game_status"),
         F.when(has_utc, try_ts(p["gameDateTimeUTC"])).when(has_est, est)
          .otherwise(F.lit(None).cast("timestamp")).alias("utc_start_time"),
-        _optional(g, p, "arenaName", "arenaName").alias("arena_name"),
-        _optional(g, p, "arenaCity", "arenaCity").alias("city"),
+        optional("arenaName").alias("arena_name"),
+        optional("arenaCity").alias("city"),
     )
     return out, bad_days.unionByName(bad_games)

@@ -7,8 +7,9 @@ from hypeline.sources.landing import (
     read_source,
     land_game_logs,
 )
-from hypeline.sources.schedule import flatten_schedule, has_key
+from hypeline.sources.schedule import flatten_schedule, has_key, land_schedule, read_schedule_docs
 from hypeline.sources.schemas import RAW_SCHEMAS
 
 __all__ = ["land_posts", "stamp_loaded_at", "union_batches", "read_source",
-           "land_game_logs", "flatten_schedule", "has_key", "RAW_SCHEMAS"]
+           "land_game_logs", "flatten_schedule", "has_key", "land_schedule",
+           "read_schedule_docs", "RAW_SCHEMAS"]

@@ -89,3 +89,20 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
         optional("arenaCity").alias("city"),
     )
     return out, bad_days.unionByName(bad_games)
+
+
+def read_schedule_docs(spark, path: str) -> DataFrame:
+    """One row per schedule document file (``doc`` column, whole file text)."""
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "doc")
+
+
+def land_schedule(docs: DataFrame, batch_ts, date=None, season: str | None = None):
+    """Select a schedule load: ``date`` keeps that day and appends; ``season``
+    loads the whole document and overwrites (the season label only names the
+    run -- it does not filter).  Exactly one of them is required.
+    Returns ``(rows, rejects, mode)`` with rows stamped with ``batch_ts``."""
+    from hypeline.sources.landing import stamp_loaded_at
+    if (date is None) == (season is None):
+        raise ValueError("land_schedule needs exactly one of date= or season=")
+    games, rejects = flatten_schedule(docs, target_date=date)
+    return stamp_loaded_at(games, batch_ts), rejects, ("append" if date is not None else "overwrite")

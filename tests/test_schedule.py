@@ -54,3 +54,18 @@ def test_target_date_filter(spark):
     docs = [_doc([g]), _doc([dict(g, gameId="2")], game_date="2026-01-21 00:00:00")]
     games, _ = _flatten(spark, docs, target_date="2026-01-21")
     assert set(games) == {"2"}
+
+
+def test_land_schedule_modes(spark, scratch):
+    from hypeline.sources import land_schedule, read_schedule_docs
+    p = scratch("docs")
+    g = {"gameId": "1", "homeTeam": TEAM, "awayTeam": AWAY}
+    for doc in (_doc([g]), json.dumps(json.loads(_doc([dict(g, gameId="2")], "2026-01-21 00:00:00")), indent=2)):
+        spark.createDataFrame([(doc,)], "value string").coalesce(1).write.mode("append").text(p)
+    docs = read_schedule_docs(spark, p)
+    load = dt.datetime(2026, 1, 22, 10)
+    rows, _, mode = land_schedule(docs, load, date=dt.date(2026, 1, 21))
+    assert mode == "append" and [r.game_id for r in rows.collect()] == ["2"]
+    rows, _, mode = land_schedule(docs, load, season="2025-26")
+    assert mode == "overwrite" and sorted(r.game_id for r in rows.collect()) == ["1", "2"]
+    assert {r._loaded_at_utc.replace(tzinfo=None) for r in rows.collect()} == {load}

@@ -49,7 +49,9 @@ def parse_date_any(c: "Column | str", formats: Sequence[str] = GAME_DATE_FORMATS
     fails; here only the failing rows are NULL and go to a reject table.
     """
     col = as_col(c)
-    return F.coalesce(*[F.try_to_date(col, f) for f in formats])
+    # last resort: an ISO-8601 date-time ("2025-11-09T19:30:00"), date kept
+    iso = F.to_date(col.try_cast("timestamp_ntz"))
+    return F.coalesce(*[F.try_to_date(col, f) for f in formats], iso)
 
 
 def try_ts(c: "Column | str") -> Column:

@@ -47,9 +47,9 @@ def test_ngrams(spark):  # F-4
 
 
 def test_parse_date_any(spark):  # F-5
-    got = one(spark, [("NOV 09, 2025",), ("11/09/2025",), ("2025-11-09",), ("zz",)], "d string",
-              parse_date_any("d"))
-    assert got == [dt.date(2025, 11, 9)] * 3 + [None]
+    got = one(spark, [("NOV 09, 2025",), ("11/09/2025",), ("2025-11-09",), ("2025-11-09T19:30:00",),
+                      ("zz",)], "d string", parse_date_any("d"))
+    assert got == [dt.date(2025, 11, 9)] * 4 + [None]
 
 
 def test_season_label(spark):  # F-6

@@ -13,7 +13,7 @@ import json
 import datetime as dt
 
 from hypeline.plans import ingest
-from hypeline.plans.models import GAMES_FROM, POSTS_FROM
+from hypeline.constants import DEFAULT_RUN_DT, GAMES_FROM, POSTS_FROM
 from hypeline.plans.pipeline import run
 from hypeline.session import get_spark
 
@@ -23,7 +23,7 @@ def main(argv=None) -> None:
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run", help="run all models for one run date")
     r.add_argument("--root", required=True)
-    r.add_argument("--run-dt", required=True)
+    r.add_argument("--run-dt", default=DEFAULT_RUN_DT)
     r.add_argument("--full-refresh", action="store_true")
     r.add_argument("--games-from", default=GAMES_FROM)
     r.add_argument("--posts-from", default=POSTS_FROM)

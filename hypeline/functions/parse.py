@@ -10,15 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hypeline.constants import EASTERN_TZ, GAME_DATE_FORMATS, MATCHUP_MARKERS, SEASON_FLIP_MONTH
 from hypeline.functions._util import as_col
 
-# Date spellings accepted by the game-log landing, tried in
-# this order ("NOV 09, 2025", "11/09/2025", "2025-11-09").
-GAME_DATE_FORMATS = ("MMM dd, yyyy", "M/d/yyyy", "yyyy-M-d")
-
-# Fixed value: the schedule's Eastern wall-clock zone.
-EASTERN_TZ = "America/New_York"
-
 
 def mmss_to_seconds(c: "Column | str") -> Column:
     """``"MM:SS"`` -> seconds as bigint; NULL -> 0.
@@ -37,8 +31,8 @@ def opponent(matchup: "Column | str", team: "Column | str") -> Column:
     contained in the opponent's code damages it (kept on purpose)."""
     m = as_col(matchup)
     step = F.replace(m, as_col(team), F.lit(""))
-    step = F.replace(step, F.lit("vs."), F.lit(""))
-    step = F.replace(step, F.lit("@"), F.lit(""))
+    for marker in MATCHUP_MARKERS:
+        step = F.replace(step, F.lit(marker), F.lit(""))
     return F.trim(step)
 
 
@@ -82,7 +76,7 @@ def season_label(d: "Column | str") -> Column:
     """Season string flipping in October: 2025-10-22 -> ``2025-26``."""
     dc = as_col(d)
     y = F.year(dc)
-    start = F.when(F.month(dc) >= 10, y).otherwise(y - 1)
+    start = F.when(F.month(dc) >= SEASON_FLIP_MONTH, y).otherwise(y - 1)
     end = F.pmod(start + 1, F.lit(100))
     return F.concat(start.cast("string"), F.lit("-"), F.lpad(end.cast("string"), 2, "0"))
 

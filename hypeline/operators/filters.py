@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hypeline.constants import POST_LOOKBACK_HOURS
+
 
 def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
@@ -34,7 +36,7 @@ def where_date(df: DataFrame, column: str, d) -> DataFrame:
     return df.where(F.col(column).cast("date") == _as_date(d))
 
 
-def rolling_lookback(df: DataFrame, ts: str, as_of, hours: int = 48) -> DataFrame:
+def rolling_lookback(df: DataFrame, ts: str, as_of, hours: int = POST_LOOKBACK_HOURS) -> DataFrame:
     """Rows created in ``[as_of - hours, as_of]``.
 
     The reference walks newest-first and stops at the first row older than

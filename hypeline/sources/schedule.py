@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hypeline.constants import OPTIONAL_DEFAULT, SCHEDULE_DAY_FORMATS
 from hypeline.functions.parse import local_to_utc, try_ts
 from hypeline.sources.schemas import SCHEDULE_DOC, SCHEDULE_GAME
 
@@ -37,8 +38,9 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
                 .select(F.explode("__d.leagueSchedule.gameDates").alias("__day"))
                 .select(F.col("__day.gameDate").alias("raw_date"), F.col("__day.games").alias("games")))
     date_part = F.split(F.col("raw_date"), " ")[0]
-    day = F.when(date_part.contains("/"), F.try_to_date(date_part, "M/d/yyyy")) \
-           .otherwise(F.try_to_date(date_part, "yyyy-M-d"))
+    slash_fmt, iso_fmt = SCHEDULE_DAY_FORMATS
+    day = F.when(date_part.contains("/"), F.try_to_date(date_part, slash_fmt)) \
+           .otherwise(F.try_to_date(date_part, iso_fmt))
     days = days.withColumn("__date", day)
 
     bad_days = days.where(F.col("__date").isNull()).select(
@@ -72,7 +74,7 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
 
     def optional(key: str) -> Column:
         # Default '' only when the key is absent; a present null stays NULL.
-        return F.when(_in(k, key), p[key]).otherwise(F.lit(""))
+        return F.when(_in(k, key), p[key]).otherwise(F.lit(OPTIONAL_DEFAULT))
 
     out = games.where(F.col("__reason").isNull()).select(
         p["gameId"].alias("game_id"),

@@ -547,12 +547,13 @@ QUERIES.update({
 
 # -- streaming landing ---------------------------------------------------------------
 def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
-    """Land ``events`` with the streaming file source (AvailableNow +
-    foreachBatch), stamped with a fixed load time, and read the table back."""
+    """Land ``events`` with the streaming file source and the exactly-once
+    Parquet file sink (AvailableNow), stamped with a fixed load time, and
+    read the table back."""
     schema = table(spark, d, "events").schema
     target, ckpt = scratch_path(spark, "stream_target"), scratch_path(spark, "stream_ckpt")
     land_stream(spark, d, schema, target, ckpt, glob="events.parquet",
-                batch_ts=lambda _b: adapters.LOAD_TS)
+                batch_ts=adapters.LOAD_TS)
     out = read_table(spark, target)
     return out.select("event_id", "user_id", "event_type", "ts",
                       F.col("_loaded_at_utc").cast("timestamp_ntz").alias("_loaded_at_utc"))

@@ -11,12 +11,21 @@ def test_stream_landing_is_exactly_once_across_restarts(spark, scratch):
     schema = "post_id string, score long"
     spark.createDataFrame([("a", 1), ("b", 2)], schema).write.mode("append").parquet(src)
     n = land_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt,
-                    batch_ts=lambda _b: LOAD)
+                    batch_ts=LOAD)
     assert n >= 1
     # restart with nothing new: no batch, no duplicates
-    land_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt, batch_ts=lambda _b: LOAD)
+    land_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt, batch_ts=LOAD)
     spark.createDataFrame([("c", 3)], schema).write.mode("append").parquet(src)
-    land_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt, batch_ts=lambda _b: LOAD)
+    land_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt, batch_ts=LOAD)
     got = sorted((r.post_id, r.score) for r in read_table(spark, target).collect())
     assert got == [("a", 1), ("b", 2), ("c", 3)]
     assert {r._loaded_at_utc.replace(tzinfo=None) for r in read_table(spark, target).collect()} == {LOAD}
+
+
+def test_stream_landing_stamps_one_time_per_batch(spark, scratch):
+    src, target, ckpt = scratch("src"), scratch("tgt"), scratch("ckpt")
+    schema = "post_id string, score long"
+    spark.createDataFrame([("a", 1), ("b", 2)], schema).write.mode("append").parquet(src)
+    land_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt)
+    stamps = {r._loaded_at_utc for r in read_table(spark, target).collect()}
+    assert len(stamps) == 1

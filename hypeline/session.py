@@ -58,6 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if app not in _ROOTS:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
         if not root:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                                   "staged tables must survive lost executors")
             root = tempfile.mkdtemp(prefix="hypeline-ckpt-")
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(root)

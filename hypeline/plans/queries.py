@@ -284,10 +284,10 @@ def q_schedule_for_date(spark: SparkSession, d: str) -> DataFrame:
 
 # -- F2 F3 -------------------------------------------------------------------------
 def q_clean_tokens(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", text.clean_title("text").alias("clean"))
-    toks = text.tokenize("clean")
-    return docs.select("doc_id", F.size(toks).alias("n_tokens"),
-                       F.size(F.filter(toks, lambda t: t == "")).alias("n_empty"),
+    docs = (table(spark, d, "documents").select("doc_id", text.clean_title("text").alias("clean"))
+            .select("doc_id", "clean", text.tokenize("clean").alias("toks")))   # split once
+    return docs.select("doc_id", F.size("toks").alias("n_tokens"),
+                       F.size(F.filter("toks", lambda t: t == "")).alias("n_empty"),
                        F.length("clean").alias("clean_chars"))
 
 

@@ -44,3 +44,14 @@ def test_files_to_summary(spark, scratch):
     assert [(r.player_name, r.opponent_team, r.travel_status, r.post_type, r.post_count, r.seconds_played)
             for r in fct] == [("Ann Lee", "BOS", "away", "Highlight", 1, 1830)]
     assert fct[0].game_start_utc.replace(tzinfo=None) == dt.datetime(2026, 1, 11, 0, 30)
+
+
+def test_command_line_ingest(spark, scratch, capsys):
+    from hypeline.__main__ import main
+    root, lp = scratch("wh"), scratch("lp")
+    _write_lines(spark, lp, [json.dumps({"post_id": "p1", "title": "Ann Lee", "score": 1, "num_comments": 1,
+                                         "created_utc": dt.datetime(2026, 1, 11, 3, tzinfo=dt.timezone.utc).timestamp()})])
+    main(["ingest", "--root", root, "--source", "posts", "--landing", lp, "--batch-ts", "2026-01-11T10:00:00"])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"source": "posts", "loaded": True}
+    posts = read_table(spark, f"{root}/raw/reddit_nba_posts").collect()
+    assert [(r.post_id, r._loaded_at_utc.replace(tzinfo=None)) for r in posts] == [("p1", LOAD)]

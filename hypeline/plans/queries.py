@@ -39,6 +39,7 @@ RUN_DT = _dt.date(2024, 1, 15)
 
 # -- W1 ----------------------------------------------------------------------
 def q_latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Newest ship date per (order, line) of lineitem; every other column breaks ties."""
     li = table(spark, d, "lineitem")
     others = [c for c in li.columns if c not in ("l_orderkey", "l_linenumber", "l_shipdate")]
     return latest_snapshot(li, ["l_orderkey", "l_linenumber"], "l_shipdate", tie_break=others)
@@ -46,6 +47,7 @@ def q_latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 # -- S4 ----------------------------------------------------------------------
 def q_rolling_lookback_48h(spark: SparkSession, d: str) -> DataFrame:
+    """Events in the 48 hours before the newest event (a scalar subquery, no driver round trip)."""
     ev = table(spark, d, "events")
     as_of = ev.select(F.max("ts")).scalar()
     return rolling_lookback(ev, "ts", as_of, 48).select("event_id", "ts", "user_id", "event_type")
@@ -60,6 +62,7 @@ def _staged(spark: SparkSession, d: str):
 
 
 def q_entity_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions model over documents as posts and benchmark passages as player names."""
     gl, _, po = _staged(spark, d)
     m = models.player_mentions(po, gl)
     return m.select("post_id", "matched_player", "subreddit", "created_utc", "created_date",
@@ -68,12 +71,14 @@ def q_entity_mentions(spark: SparkSession, d: str) -> DataFrame:
 
 # -- W2 F8 -------------------------------------------------------------------
 def q_next_start(spark: SparkSession, d: str) -> DataFrame:
+    """Each purchase's next purchase time per user, or +7 days for the last one."""
     p = adapters.purchases(spark, d).select("event_id", "user_id", "ts")
     return with_next_start(p, "user_id", "ts", out="next_ts", tie_break=["event_id"])
 
 
 # -- J4 ----------------------------------------------------------------------
 def q_interval_attribution(spark: SparkSession, d: str) -> DataFrame:
+    """Every non-purchase event attributed to its user's purchase interval [start, next)."""
     ev = table(spark, d, "events")
     iv = with_next_start(
         ev.where(F.col("event_type") == "purchase")
@@ -87,6 +92,7 @@ def q_interval_attribution(spark: SparkSession, d: str) -> DataFrame:
 
 # -- M5 M6 (flagship) ----------------------------------------------------------
 def q_daily_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Flagship: staging -> mentions -> engagement per player, game and post type."""
     gl, sc, po = _staged(spark, d)
     mentions = models.player_mentions(po, gl)
     return models.player_daily_summary(gl, sc, mentions, adapters.GAMES_FROM, adapters.POSTS_FROM)
@@ -104,6 +110,7 @@ QUERIES = {
 
 # -- P1 P2 P3 ----------------------------------------------------------------
 def q_conform_projection(spark: SparkSession, d: str) -> DataFrame:
+    """Orders renamed to a contract with ids cast to string and the date to DATE."""
     return conform(table(spark, d, "orders"), [
         ("o_orderkey", "order_id", "string"), ("o_custkey", "customer_id", "string"),
         ("o_orderstatus", "status", None), ("o_totalprice", "total_price", None),
@@ -112,10 +119,12 @@ def q_conform_projection(spark: SparkSession, d: str) -> DataFrame:
 
 # -- P4 / P5 F6 F7 ---------------------------------------------------------------
 def q_since_run_date(spark: SparkSession, d: str) -> DataFrame:
+    """Incremental gate: events on or after the run date."""
     return since(table(spark, d, "events"), "ts", RUN_DT).select("event_id", "ts", "user_id", "event_type")
 
 
 def q_since_lookback(spark: SparkSession, d: str) -> DataFrame:
+    """Incremental gate with one day of look-back, plus DATE(ts)."""
     ev = since(table(spark, d, "events"), "ts", RUN_DT, lookback_days=1)
     return ev.select("event_id", "ts", F.to_date("ts").alias("created_date"))
 
@@ -129,12 +138,14 @@ def _clock_text(ev: DataFrame) -> DataFrame:
 
 
 def q_mmss_seconds(spark: SparkSession, d: str) -> DataFrame:
+    """'MM:SS' clock text (NULL for some rows) to seconds, NULL -> 0."""
     ev = _clock_text(table(spark, d, "events"))
     return ev.select("event_id", "min_sec", parse.mmss_to_seconds("min_sec").alias("seconds_played"))
 
 
 # -- F9 P10 ------------------------------------------------------------------------
 def q_opponent_and_venue(spark: SparkSession, d: str) -> DataFrame:
+    """Opponent and home/away from 'A vs. B' / 'A @ B' matchups built from customer nations."""
     nation = broadcast_if_small(table(spark, d, "nation").select("n_nationkey", "n_name"))
     c = table(spark, d, "customer").select(
         "c_custkey", "c_nationkey",
@@ -153,6 +164,7 @@ def q_opponent_and_venue(spark: SparkSession, d: str) -> DataFrame:
 
 # -- P8 P9 -------------------------------------------------------------------------
 def q_post_type_label(spark: SparkSession, d: str) -> DataFrame:
+    """First-match-wins post type from bracket tags, case-sensitive."""
     docs = table(spark, d, "documents")
     k = F.pmod(F.col("doc_id"), F.lit(5))
     tag = (F.when(k == 0, F.lit("[Highlight] ")).when(k == 1, F.lit("[Post Game Thread] "))
@@ -163,6 +175,7 @@ def q_post_type_label(spark: SparkSession, d: str) -> DataFrame:
 
 # -- F10 ---------------------------------------------------------------------------
 def q_multi_format_date(spark: SparkSession, d: str) -> DataFrame:
+    """Order dates rendered in three spellings (and junk) parsed back."""
     o = table(spark, d, "orders")
     k = F.pmod(F.col("o_orderkey"), F.lit(4))
     raw = (F.when(k == 0, F.upper(F.date_format("o_orderdate", "MMM dd, yyyy")))
@@ -176,6 +189,7 @@ def q_multi_format_date(spark: SparkSession, d: str) -> DataFrame:
 
 # -- F11 F12 -----------------------------------------------------------------------
 def q_local_to_utc(spark: SparkSession, d: str) -> DataFrame:
+    """Eastern wall-clock text (trailing Z, November DST fall-back) to UTC."""
     ev = table(spark, d, "events")
     wall = F.col("ts") + F.expr("INTERVAL 306 DAYS")   # lands in November: DST fall-back
     est = F.when(F.pmod(F.col("event_id"), F.lit(53)) == 0, F.lit("not a time")) \
@@ -187,12 +201,14 @@ def q_local_to_utc(spark: SparkSession, d: str) -> DataFrame:
 
 # -- F13 ---------------------------------------------------------------------------
 def q_season_label(spark: SparkSession, d: str) -> DataFrame:
+    """Season label flipping in October for every order date."""
     return table(spark, d, "orders").select(
         "o_orderkey", parse.season_label(F.to_date("o_orderdate")).alias("season_year"))
 
 
 # -- S3 F14 ------------------------------------------------------------------------
 def q_epoch_to_ts(spark: SparkSession, d: str) -> DataFrame:
+    """Timestamps to epoch seconds and back."""
     ev = table(spark, d, "events").select(
         "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch_s"))
     return ev.select("event_id", "epoch_s",
@@ -200,6 +216,7 @@ def q_epoch_to_ts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_land_posts(spark: SparkSession, d: str) -> DataFrame:
+    """Fetched post records (epoch seconds) landed: 48 h window and load stamp."""
     docs = table(spark, d, "documents")
     fetched = docs.select(
         F.col("doc_id").cast("string").alias("post_id"), F.col("source").alias("subreddit"),
@@ -216,6 +233,7 @@ def q_land_posts(spark: SparkSession, d: str) -> DataFrame:
 
 # -- S9 ----------------------------------------------------------------------------
 def q_json_key_presence(spark: SparkSession, d: str) -> DataFrame:
+    """Key present / present-but-null / absent in a JSON object."""
     ev = table(spark, d, "events")
     k = F.pmod(F.col("event_id"), F.lit(3))
     doc = (F.when(k == 0, F.col("props")).when(k == 1, F.lit('{"k": null}'))
@@ -267,23 +285,27 @@ def _games_out(games: DataFrame) -> DataFrame:
 
 
 def q_json_flatten(spark: SparkSession, d: str) -> DataFrame:
+    """Nested schedule documents flattened to one row per game."""
     games, _ = flatten_schedule(schedule_docs(spark, d))
     return _games_out(games)
 
 
 def q_json_flatten_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Days and games the schedule flattener rejects, with reasons."""
     _, rejects = flatten_schedule(schedule_docs(spark, d))
     return rejects.select("level", "raw_date", "reason",
                           F.get_json_object("game", "$.gameId").alias("game_id"))
 
 
 def q_schedule_for_date(spark: SparkSession, d: str) -> DataFrame:
+    """Flattened schedule restricted to one normalised day."""
     games, _ = flatten_schedule(schedule_docs(spark, d), target_date=RUN_DT)
     return _games_out(games)
 
 
 # -- F2 F3 -------------------------------------------------------------------------
 def q_clean_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned-title token statistics per document (whole texts)."""
     docs = (table(spark, d, "documents").select("doc_id", text.clean_title("text").alias("clean"))
             .select("doc_id", "clean", text.tokenize("clean").alias("toks")))   # split once
     return docs.select("doc_id", F.size("toks").alias("n_tokens"),
@@ -293,6 +315,7 @@ def q_clean_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 # -- F4 F5 J2 ------------------------------------------------------------------------
 def q_ngrams_2_3(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of lower-cased 2- and 3-word n-grams per benchmark passage."""
     bm = table(spark, d, "benchmark")
     g = bm.select("item_id", F.explode(text.ngrams(text.tokenize(text.clean_title("text")))).alias("g"))
     g = g.select("item_id", F.lower("g").alias("ngram"), F.size(F.split("g", " ")).alias("n"))
@@ -301,12 +324,14 @@ def q_ngrams_2_3(spark: SparkSession, d: str) -> DataFrame:
 
 # -- A1 ----------------------------------------------------------------------------
 def q_roster_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct (name, match key) roster from the staged game logs."""
     gl = models.stage_game_logs(adapters.raw_game_logs(spark, d))
     return roster(gl, "player_name")
 
 
 # -- J1 ----------------------------------------------------------------------------
 def q_left_join_schedule(spark: SparkSession, d: str) -> DataFrame:
+    """Orders left-joined to one customer segment."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING") \
         .select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
@@ -315,6 +340,7 @@ def q_left_join_schedule(spark: SparkSession, d: str) -> DataFrame:
 
 # -- A3 A4 A5 A6 ---------------------------------------------------------------------
 def q_engagement_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """COUNT(DISTINCT) + SUM per (user, type, day), then summed per type."""
     ev = table(spark, d, "events")
     per = (ev.groupBy("user_id", "event_type", F.to_date("ts").alias("event_date"))
              .agg(F.count_distinct("props").alias("posts_count"),
@@ -369,6 +395,7 @@ def _batch2(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_union_additive(spark: SparkSession, d: str) -> DataFrame:
+    """Union by name of two batches, one lacking a column."""
     ev = table(spark, d, "events")
     odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
     return union_batches([ev.where(~odd).select("event_id", "event_type", "value"),
@@ -376,6 +403,7 @@ def q_union_additive(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_append_evolve(spark: SparkSession, d: str) -> DataFrame:
+    """Two appends, the second adding a column; read back with schema merging."""
     ev = table(spark, d, "events")
     odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
     path = scratch_path(spark, "append_evolve")
@@ -385,6 +413,7 @@ def q_append_evolve(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_empty_overwrite_noop(spark: SparkSession, d: str) -> DataFrame:
+    """Overwrite, then an empty overwrite that must leave the table as it was."""
     orders = table(spark, d, "orders")
     path = scratch_path(spark, "overwrite")
     overwrite(orders, path)
@@ -394,6 +423,7 @@ def q_empty_overwrite_noop(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_full_refresh_clustered(spark: SparkSession, d: str) -> DataFrame:
+    """Full-refresh write partitioned by priority and clustered, read back."""
     orders = table(spark, d, "orders")
     path = scratch_path(spark, "full_refresh")
     materialize_table(orders, path, ["o_orderpriority"], ["o_custkey", "o_orderkey"])
@@ -401,6 +431,7 @@ def q_full_refresh_clustered(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_insert_overwrite_days(spark: SparkSession, d: str) -> DataFrame:
+    """Day partitions of a second batch replace the first load's days; others stay."""
     path = scratch_path(spark, "insert_overwrite")
     insert_overwrite(_event_rows(spark, d), path, "event_date")
     insert_overwrite(_batch2(spark, d), path, "event_date")
@@ -408,6 +439,7 @@ def q_insert_overwrite_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_merge_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Merge of a second batch into day-partitioned events: update, insert, keep."""
     path = scratch_path(spark, "merge")
     first = _event_rows(spark, d).where(F.pmod(F.col("event_id"), F.lit(2)) == 0)
     merge_upsert(spark, first, path, ["event_id"], partition_col="event_date")
@@ -451,6 +483,7 @@ def _second_load(df: DataFrame, cond, **changes) -> DataFrame:
 
 
 def q_staged_game_logs(spark: SparkSession, d: str) -> DataFrame:
+    """Staged game logs (incremental) over two loads: the later load wins."""
     raw = adapters.raw_game_logs(spark, d)
     raw = raw.unionByName(_second_load(raw, F.pmod(F.col("GAME_ID").cast("bigint"), F.lit(4)) == 0,
                                        MIN=F.col("MIN") + F.lit(1.0)))
@@ -472,6 +505,7 @@ def raw_player_list(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_staged_player_list(spark: SparkSession, d: str) -> DataFrame:
+    """Staged roster over two loads: the later load wins."""
     raw = raw_player_list(spark, d)
     raw = raw.unionByName(_second_load(raw, F.pmod(F.col("PERSON_ID"), F.lit(3)) == 0,
                                        TO_YEAR=F.lit("2026")))
@@ -479,6 +513,7 @@ def q_staged_player_list(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_staged_schedule(spark: SparkSession, d: str) -> DataFrame:
+    """Staged schedule (incremental) over two loads: the later load wins."""
     raw = adapters.raw_schedule(spark, d)
     raw = raw.unionByName(_second_load(raw, F.pmod(F.col("game_id").cast("bigint"), F.lit(5)) == 0,
                                        utc_start_time=F.col("utc_start_time") + F.expr("INTERVAL 1 HOUR")))
@@ -486,6 +521,7 @@ def q_staged_schedule(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_staged_posts(spark: SparkSession, d: str) -> DataFrame:
+    """Staged posts (incremental, one day look-back) over two loads."""
     raw = adapters.raw_posts(spark, d)
     raw = raw.unionByName(_second_load(raw, F.pmod(F.col("post_id").cast("bigint"), F.lit(2)) == 0,
                                        score=F.col("score") + F.lit(100)))

@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side we are willing to ship to every executor.  Rows are short
-# (names, ids), so this bounds the hash table to a few tens of MB.
+# Largest side we are willing to ship to every executor.
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 2**20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after proving the side has at most ``max_rows``.
+def _row_bytes(df: DataFrame) -> Column:
+    """Payload bytes of a row: encoded length of strings/binaries, 8 per
+    other field (an upper-bound-style estimate for the hash table)."""
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
-    The proof is a bounded count (``limit(max_rows + 1)``), one small job.
-    Beyond the bound the plain DataFrame is returned and Catalyst/AQE plan a
-    shuffle join (with AQE's skew-join splitting for hot keys).
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only after proving the side has at most ``max_rows``
+    rows and ``max_bytes`` of payload.
+
+    The proof is one bounded job (``limit(max_rows + 1)`` then count and sum
+    of row sizes).  Beyond either bound the plain DataFrame is returned and
+    Catalyst/AQE plan a shuffle join (with AQE's skew-join splitting for hot
+    keys).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    n, size = (df.limit(max_rows + 1)
+                 .agg(F.count(F.lit(1)), F.sum(_row_bytes(df).cast("bigint")))
+                 .first())
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df

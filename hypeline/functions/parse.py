@@ -56,14 +56,19 @@ def try_ts(c: "Column | str") -> Column:
 def local_to_utc(c: "Column | str", tz: str = EASTERN_TZ,
                  ambiguous: str = "standard") -> Column:
     """Wall-clock string in ``tz`` (a misleading trailing ``Z`` is stripped)
-    -> UTC timestamp.  Unparseable -> NULL.
+    -> UTC timestamp.  Unparseable, or carrying an explicit offset -> NULL.
 
     In the repeated fall-back hour Spark picks the earlier (daylight)
     offset; the reference localises with standard time, one hour later.
     ``ambiguous="standard"`` reproduces the reference; ``"daylight"`` keeps
     Spark's choice.  Non-existent spring-forward times agree already.
     """
-    local = F.replace(as_col(c), F.lit("Z"), F.lit("")).try_cast("timestamp_ntz")
+    text = F.replace(as_col(c), F.lit("Z"), F.lit(""))
+    # A wall-clock string must be naive: one with an explicit UTC offset is
+    # unusable (the reference cannot localise it), where Spark's NTZ cast
+    # would silently drop the offset.
+    has_offset = text.rlike(r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*[+-]\d{2}(:?\d{2})?$")
+    local = F.when(~has_offset, text.try_cast("timestamp_ntz"))
     utc = F.to_utc_timestamp(local, tz)
     if ambiguous == "daylight":
         return utc

@@ -58,10 +58,12 @@ def test_season_label(spark):  # F-6
 
 
 def test_local_to_utc(spark):  # F-7
-    rows = [("2026-01-20T19:30:00Z",), ("2025-11-02T01:30:00",), ("2025-03-09T02:30:00",), ("nope",)]
+    rows = [("2026-01-20T19:30:00Z",), ("2025-11-02T01:30:00",), ("2025-03-09T02:30:00",), ("nope",),
+            ("2026-01-20T19:30:00+05:00",), ("2026-01-20 19:30",), ("2026-01-20",)]
     got = one(spark, rows, "s string", local_to_utc("s").cast("timestamp_ntz"))
     assert got == [dt.datetime(2026, 1, 21, 0, 30), dt.datetime(2025, 11, 2, 6, 30),
-                   dt.datetime(2025, 3, 9, 7, 30), None]
+                   dt.datetime(2025, 3, 9, 7, 30), None, None, dt.datetime(2026, 1, 21, 0, 30),
+                   dt.datetime(2026, 1, 20, 5, 0)]
     daylight = one(spark, [("2025-11-02T01:30:00",)], "s string",
                    local_to_utc("s", ambiguous="daylight").cast("timestamp_ntz"))
     assert daylight == [dt.datetime(2025, 11, 2, 5, 30)]

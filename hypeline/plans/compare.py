@@ -12,11 +12,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+EXACT_FLOATS = False   # True: compare doubles bit for bit (repr) instead of to 6 decimals
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        if math.isnan(v):
+            return None
+        return repr(v) if EXACT_FLOATS else round(v, 6)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, dt.datetime):

@@ -1,8 +1,8 @@
 """hypeline: Spark-native engagement-vs-performance pipeline.
 
 Reusable DataFrame/Column operators (``functions``, ``operators``,
-``sources``, ``sinks``) and the composite models built from them
-(``plans``).  Everything is expressed with built-in Spark SQL functions so
+``sources``, ``sinks``, ``streaming``) and the composite models, daily run
+and driver queries built from them (``plans``).  Everything is expressed with built-in Spark SQL functions so
 Catalyst can prune, push down and code-generate the whole plan.
 """
 

@@ -2,8 +2,9 @@
 
 Reusable DataFrame/Column operators (``functions``, ``operators``,
 ``sources``, ``sinks``, ``streaming``) and the composite models, daily run
-and driver queries built from them (``plans``).  Everything is expressed with built-in Spark SQL functions so
-Catalyst can prune, push down and code-generate the whole plan.
+and driver queries built from them (``plans``).  Everything is expressed
+with built-in Spark SQL functions, so Catalyst sees and optimises the whole
+plan: pruning, pushdown, join choice and adaptive re-planning.
 """
 
 from hypeline.session import get_spark, scratch_path

@@ -26,3 +26,13 @@ def test_plan_trims_before_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS v", "current_timestamp() AS _loaded_at_utc")
     plan = latest_snapshot(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_key_snapshot_equals_max_by(spark):
+    from pyspark.sql import functions as F
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select(
+        "event_id", "ts", "value",
+        F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("k"))
+    ours = latest_snapshot(ev, ["k"], "ts", tie_break=["event_id"]).select("k", "event_id")
+    want = ev.groupBy("k").agg(F.max_by("event_id", F.struct(F.col("ts"), -F.col("event_id"))).alias("event_id"))
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, want.collect()))

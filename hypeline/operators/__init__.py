@@ -4,11 +4,11 @@ from hypeline.operators.conform import conform
 from hypeline.operators.entities import match_entities, roster
 from hypeline.operators.filters import rolling_lookback, since, where_date
 from hypeline.operators.intervals import attribute_to_interval, with_next_start
-from hypeline.operators.joins import broadcast_if_small
+from hypeline.operators.joins import broadcast_if_small, fits_broadcast
 from hypeline.operators.snapshot import latest_snapshot
 
 __all__ = [
     "conform", "match_entities", "roster", "rolling_lookback", "since",
     "where_date", "attribute_to_interval", "with_next_start",
-    "broadcast_if_small", "latest_snapshot",
+    "broadcast_if_small", "fits_broadcast", "latest_snapshot",
 ]

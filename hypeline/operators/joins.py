@@ -23,6 +23,15 @@ def _row_bytes(df: DataFrame) -> Column:
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """One bounded job: at most ``max_rows`` rows and ``max_bytes`` payload?"""
+    n, size = (df.limit(max_rows + 1)
+                 .agg(F.count(F.lit(1)), F.sum(_row_bytes(df).cast("bigint")))
+                 .first())
+    return n <= max_rows and (size or 0) <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                        max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Hint a broadcast only after proving the side has at most ``max_rows``
@@ -33,7 +42,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
     Catalyst/AQE plan a shuffle join (with AQE's skew-join splitting for hot
     keys).
     """
-    n, size = (df.limit(max_rows + 1)
-                 .agg(F.count(F.lit(1)), F.sum(_row_bytes(df).cast("bigint")))
-                 .first())
-    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df

@@ -34,3 +34,15 @@ def test_three_word_name_and_hyphen(spark):
 def test_roster_case_variants_are_two_players(spark):
     assert _match(spark, ["lebron james"], ["LeBron James", "Lebron James"]) == [
         (0, "LeBron James"), (0, "Lebron James")]
+
+
+def test_shuffle_path_with_length_pruning_equals_broadcast_path(spark):
+    from hypeline.plans import adapters, models
+    d = "/root/testdata/sf0.01"
+    gl = models.stage_game_logs(adapters.raw_game_logs(spark, d))
+    posts = adapters.raw_posts(spark, d).select("post_id", "title")
+    names = roster(gl, "player_name")
+    a = match_entities(posts, names, "post_id", "title")
+    b = match_entities(posts, names, "post_id", "title", broadcast_max_rows=1)
+    rows = sorted(a.collect())
+    assert len(rows) > 50 and rows == sorted(b.collect())

@@ -47,6 +47,12 @@ def discard(*frames: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Hand rows to Python in batches of a few MB: a batch of long texts then
+    needs no more memory than one of short texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -63,14 +69,18 @@ def _hashable(df: DataFrame) -> list[Column]:
 
 
 def row_fingerprint(df: DataFrame) -> list[Column]:
-    """Two 64-bit hashes over every column.  Rows that agree in both (and in
-    doc_id) are repeated rows and interchangeable."""
+    """Two 64-bit hashes over every column.  Rows that agree in both are repeated
+    rows and interchangeable."""
     cols = []
     for c in _hashable(df):
         cols += [c.isNull(), c]          # hash functions skip nulls: mark them
     return [F.xxhash64(*cols).alias(ROW_ID[0]), F.xxhash64(F.lit("b"), *cols).alias(ROW_ID[1])]
 
 
+def with_row_id(df: DataFrame) -> DataFrame:
+    return df.select(*[field(c) for c in df.columns], *row_fingerprint(df))
+
+
 def parts_for(df: DataFrame) -> int:
     """Partitions for a range partitioning: the session's shuffle width."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -104,5 +114,5 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str,
             .drop("__group", PART, "__run", "__before"))
 
 
-__all__ = ["WORD", "GAP", "ROW_ID", "table", "field", "materialise", "discard", "word_count",
-           "row_fingerprint", "parts_for", "running_total"]
+__all__ = ["WORD", "GAP", "ROW_ID", "table", "field", "materialise", "discard", "bounded_batches", "word_count",
+           "row_fingerprint", "with_row_id", "parts_for", "running_total"]

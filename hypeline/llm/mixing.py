@@ -24,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hypeline.llm.common import ROW_ID, field, materialise, row_fingerprint, running_total, word_count
+from hypeline.llm.common import (ROW_ID, field, materialise, row_fingerprint, running_total, with_row_id,
+                                 word_count)
 
 WEIGHTS = (1, 2, 3)      # by rank of the source, repeating
 MAX_REPEAT = 3
@@ -105,17 +106,12 @@ def plan_mix(docs: DataFrame, text: str = "text", source: str = "source", key: s
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as it is taken, with the
-    columns of ``docs``.  Rows are found again by key and row hashes."""
-    plan = (plan_mix(docs, text, source, key, **options).where("copies > 0")
-            .select(F.col("doc_id").alias("__k"), *[F.col(c).alias(f"__p{c}") for c in ROW_ID], "copies"))
-    tagged = docs.select(*[field(c) for c in docs.columns], *row_fingerprint(docs))
+    columns of ``docs``.  Rows are found again by their row hashes."""
+    plan = plan_mix(docs, text, source, key, **options).where("copies > 0").select(*ROW_ID, F.col("copies").alias("__copies"))
     # ``copies`` covers all repeats of a row, so one of them is kept before emitting.
-    single = tagged.dropDuplicates([key, *ROW_ID])
-    met = single.join(plan, single[f"`{key}`"].eqNullSafe(F.col("__k"))
-                      & (F.col(ROW_ID[0]) == F.col("__p" + ROW_ID[0]))
-                      & (F.col(ROW_ID[1]) == F.col("__p" + ROW_ID[1])))
-    times = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")
-    return met.select(*[single["`" + c.replace("`", "``") + "`"] for c in docs.columns], times).drop("__copy")
+    met = with_row_id(docs).dropDuplicates(list(ROW_ID)).join(plan, list(ROW_ID))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__copy")
+    return met.select(*[field(c) for c in docs.columns], times).drop("__copy")
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypeline.llm import mixing, sharding
+import corpus_pipeline
+from hypeline.llm import (chunks, decontamination, jaccard_join, langid, mixing, quality, rules, sharding, toxicity,
+                          warc)
 from hypeline.llm.common import table
 
 
@@ -14,10 +16,58 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return jaccard_join.component_ids(table(spark, sf_dir, "documents"))
+
+
+def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and the cascade's verdict of every document."""
+    return rules.rule_report(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents dealt to 16 shards along the Hilbert curve."""
     return sharding.assign_shards(table(spark, sf_dir, "documents")).drop("__row_a", "__row_b")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op7_sharding)}
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated spans of all documents, with the documents that hold the first occurrences."""
+    return chunks.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as a deduplicated archive and read back."""
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap benchmark items."""
+    return decontamination.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
 
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_language, op3_toxicity, op4_quality, op5_jaccard, op6_rules,
+                                   op7_sharding, op8_substrings, op9_warc, op10_decontamination, pipeline)}

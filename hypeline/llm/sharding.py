@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hypeline.llm.common import field, materialise, row_fingerprint, running_total, ROW_ID
+from hypeline.llm.common import field, materialise, row_fingerprint, running_total, ROW_ID, with_row_id
 
 SHARDS = 16
 BITS = 8
@@ -129,30 +129,25 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, text: str = "text", key
                          "curve", *ROW_ID)
 
 
+def attach_shards(docs: DataFrame, plan: DataFrame, shard: str = "shard", slot: str = "slot") -> DataFrame:
+    """``docs`` with its shard and slot; columns of those names are replaced.
+    Repeated rows hold several slots of the plan: they are listed per row hash
+    and emitted once each."""
+    spots = plan.groupBy(*ROW_ID).agg(F.collect_list(F.struct("shard", "slot")).alias("__spots"))
+    met = with_row_id(docs).dropDuplicates(list(ROW_ID)).join(spots, list(ROW_ID))
+    own = [field(c) for c in docs.columns if c.lower() not in (shard, slot)]
+    return (met.select(*own, F.explode("__spots").alias("__spot"))
+            .withColumns({shard: F.col("__spot.shard"), slot: F.col("__spot.slot")}).drop("__spot"))
+
+
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, text: str = "text", key: str = "doc_id",
                  labels: tuple[str, ...] = ("source", "lang"), rows_per_file: int = 1_000_000) -> None:
     """Write ``docs`` in curve order, one folder per shard.  A shard is dealt over
-    as many tasks as it has ``rows_per_file`` blocks of slots, never over one."""
-    plan = assign_shards(docs, shards, text, key, labels)
-    block = F.floor(F.col("__slot") / rows_per_file).alias("__block")
-    (attach_shards(docs, plan, key, shard="shard", slot="__slot")
-     .select("*", block).repartition("shard", "__block").sortWithinPartitions("shard", "__slot")
-     .drop("__block", "__slot").write.partitionBy("shard").parquet(path))
-
-
-def attach_shards(docs: DataFrame, plan: DataFrame, key: str = "doc_id",
-                  shard: str = "shard", slot: str = "slot") -> DataFrame:
-    """``docs`` with its shard and slot.  Repeated rows hold several slots of the
-    plan; they are collected per row and emitted once each."""
-    spots = (plan.groupBy(F.col("doc_id").alias("__k"), *[F.col(c).alias("__p" + c) for c in ROW_ID])
-             .agg(F.collect_list(F.struct("shard", "slot")).alias("__spots")))
-    tagged = docs.select(*[field(c) for c in docs.columns], *row_fingerprint(docs)).dropDuplicates([key, *ROW_ID])
-    met = tagged.join(spots, tagged[f"`{key}`"].eqNullSafe(F.col("__k"))
-                      & (F.col(ROW_ID[0]) == F.col("__p" + ROW_ID[0]))
-                      & (F.col(ROW_ID[1]) == F.col("__p" + ROW_ID[1])))
-    own = [tagged["`" + c.replace("`", "``") + "`"] for c in docs.columns if c.lower() not in (shard, slot)]
-    return (met.select(*own, F.explode("__spots").alias("__spot"))
-            .select("*", F.col("__spot.shard").alias(shard), F.col("__spot.slot").alias(slot)).drop("__spot"))
+    as many tasks as it has blocks of ``rows_per_file`` slots, never over one."""
+    placed = attach_shards(docs, assign_shards(docs, shards, text, key, labels))
+    (placed.withColumn("__block", F.floor(F.col("slot") / rows_per_file))
+     .repartition("shard", "__block").sortWithinPartitions("shard", "slot")
+     .drop("__block").write.partitionBy("shard").parquet(path))
 
 
 __all__ = ["SHARDS", "hilbert_tables", "hilbert_index", "log_grid", "hash_grid", "assign_shards",

@@ -57,7 +57,7 @@ from hypeline.llm.components import components
 
 NUM, DEN = 75, 100           # link: DEN * intersection >= NUM * union
 RADIUS = 1 - NUM / DEN
-SAMPLE = 8                   # one in so many distinct sets is counted for the order
+SAMPLE = 16                  # one in so many distinct sets is counted for the order
 FREQUENT = 4                 # frequent: in so many sampled sets
 FREQUENT_MAX = 1 << 17
 REGION = 256                 # regions up to this size are finished by their pairs
@@ -184,19 +184,22 @@ class Sets:
                     [pa.array(found, pa.int64()), pa.ListArray.from_arrays(pa.array(off), pa.array(flat))],
                     names=["node", "s"])
 
-        # Repeated rows give their set more than once.
-        return materialise(rows.mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"]), "sets")
+        return materialise(rows.mapInArrow(run, "node long, s array<long>"), "sets")
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(a, b, i, u): sizes of intersection and union of the pairs' sets."""
+        """(a, b, i, u): sizes of intersection and union of the pairs' sets.  A set
+        is moved once per pair that has it as b; the pairs themselves are broadcast
+        to the sets of a if they are few enough, and joined by a shuffle if not."""
         pairs = materialise(pairs.select("a", "b").distinct(), name)
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = self.of(nodes)
-        both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+        side = F.broadcast(pairs) if pairs.count() <= BROADCAST_IDS else pairs
+        sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        both = (sets.select(F.col("node").alias("a"), F.col("s").alias("sa")).join(side, "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"))
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
+        # A repeated row gives its set, and so its comparisons, more than once.
         return materialise(both.select("a", "b", common.alias("i"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
-                           .select("a", "b", "i", (F.col("na") + F.col("nb") - F.col("i")).alias("u")), name + "-compared")
+                           .select("a", "b", "i", (F.col("na") + F.col("nb") - F.col("i")).alias("u")).distinct(),
+                           name + "-compared")
 
 
 def _links(compared: DataFrame) -> DataFrame:
@@ -287,8 +290,13 @@ def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
              .where("node != lo").groupBy("node", F.col("lo").alias("pivot"))
              .agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n")))
     stars = stars.join(classes.select(F.col("node").alias("pivot"), F.col("n").alias("m")), "pivot")
-    likely = F.col("c") + F.greatest(_beyond(F.col("n")), _beyond(F.col("m"))) >= _needed(F.col("n"), F.col("m"))
-    found = [_links(sets.compare(stars.where(likely).select(F.col("node").alias("a"), F.col("pivot").alias("b")), "stars"))]
+    likely = ((F.col("c") + F.greatest(_beyond(F.col("n")), _beyond(F.col("m"))) >= _needed(F.col("n"), F.col("m")))
+              & (F.least("n", "m") * DEN >= F.greatest("n", "m") * NUM))
+    # One pivot per document, the one with which it shares most regions: enough
+    # for labels, and every link that is not found here is among the pairs below.
+    stars = (stars.where(likely).groupBy("node").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("b"))
+             .select(F.col("node").alias("a"), "b"))
+    found = [_links(sets.compare(stars, "stars"))]
     labels = _labels(found[0])
 
     # What the stars left open in the regions of rarer shingles.

@@ -207,12 +207,8 @@ def _links(compared: DataFrame) -> DataFrame:
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """(node, label): nodes that share a label are connected.  Two hops, not
-    whole components: labels only save comparisons."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    one = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("l1"))
-    two = one.select(F.col("node").alias("l1"), F.col("l1").alias("l2"))
-    return materialise(one.join(two, "l1", "left").select("node", F.coalesce("l2", "l1").alias("label")), "labels")
+    """(node, label): nodes that share a label are connected."""
+    return materialise(components(links).select("node", F.col("root").alias("label")).distinct(), "labels")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -226,12 +222,13 @@ def _mixed(rows: DataFrame, by: str) -> DataFrame:
     return rows.drop("cnt").join(regions, by)
 
 
-def _pairs(rows: DataFrame, by: str, keep: list[str]) -> DataFrame:
+def _pairs(rows: DataFrame, by: str, keep: list[str], more: Column | None = None) -> DataFrame:
     """Pairs of one region with different labels and sizes that can link."""
     left = rows.select(by, *[F.col(c).alias(c + "_a") for c in ["node", "n", "label", *keep]])
-    right = rows.select(by, *[F.col(c).alias(c + "_b") for c in ["node", "n", "label", *keep]])
-    return left.join(right, by).where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
-                                      & (F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM))
+    right = rows.select(F.col(by).alias("__by"), *[F.col(c).alias(c + "_b") for c in ["node", "n", "label", *keep]])
+    fits = ((F.col(by) == F.col("__by")) & (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
+            & (F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM))
+    return left.join(right, fits if more is None else fits & more)
 
 
 def _small_region_pairs(rows: DataFrame) -> DataFrame:
@@ -246,9 +243,24 @@ def _small_region_pairs(rows: DataFrame) -> DataFrame:
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
 
 
+def _large_region_pairs(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Pairs of frequent regions.  ``hot`` lists the frequent regions of a node, so
+    a pair is made only in the first region it shares, and only if the regions
+    it shares (``rest`` bounds those of rarer shingles) can reach the threshold."""
+    need, common = _needed(F.col("n_a"), F.col("n_b")), F.array_intersect("hot_a", "hot_b")
+    most = F.size(common) + F.least("rest_a", "rest_b") + F.greatest(_beyond(F.col("n_a")), _beyond(F.col("n_b")))
+    # All rarer shingles of such a node are in its prefix, so those it shares with nobody are known.
+    more = (F.least("open_a", "open_b") >= need) & (F.col("h_a") == F.array_min(common)) & (most >= need)
+    rows = rows.join(prefixes, "node").withColumn("open", _beyond(F.col("n")) + F.size("hot") + F.col("rest"))
+    return (_pairs(rows, "region", ["h", "hot", "rest", "open"], more)
+            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+
+
 def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFrame]:
     """Compare the members of large regions with the regions' pivots.  Returns
-    the comparisons and the members of the Voronoi regions with their windows."""
+    the comparisons and the members of the Voronoi regions with their windows.
+    Voronoi regions that keep nine tenths of their parent do not separate it:
+    their members stay in the parent, marked ``stuck``."""
     pick = Window.partitionBy("region").orderBy(F.xxhash64("node", F.lit(depth)), "node")
     pivots = (rows.withColumn("r", F.row_number().over(pick)).where(F.col("r") <= PIVOTS)
               .select("region", F.col("node").alias("pivot")))
@@ -259,9 +271,12 @@ def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFram
                           (1 - F.col("i") / F.col("u")).alias("d"))
     near = met.join(far, ["node", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
     home = F.min("d").over(Window.partitionBy("region", "node"))
-    window = (near.withColumn("home", home).where(F.col("d") <= F.col("home") + 2 * RADIUS + 1e-9)
-              .select(F.xxhash64("region", "pivot").alias("region"), "node", "n", "label", F.col("cnt").alias("before")))
-    return compared, window
+    window = materialise(near.withColumn("home", home).where(F.col("d") <= F.col("home") + 2 * RADIUS + 1e-9)
+                         .select("region", "pivot", "h", "node", "n", "cnt"), "windows")
+    size = (window.groupBy("region", "pivot").agg((F.count(F.lit(1)) > 0.9 * F.max("cnt")).alias("stuck")))
+    region = F.when(F.col("stuck"), F.col("region")).otherwise(F.xxhash64("region", "pivot"))
+    return compared, window.join(size, ["region", "pivot"]).select(
+        region.alias("region"), "h", "node", "n", "stuck").distinct()
 
 
 def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -306,23 +321,24 @@ def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     candidates = [_small_region_pairs(materialise(open_, "open-regions"))]
 
     # And in those of frequent shingles, recursively.
-    rows = large.select(F.col("h").alias("region"), "node", "n").withColumn("before", F.lit(None).cast("long"))
+    prefixes = large.groupBy("node").agg(F.collect_list("h").alias("hot"))
+    rest = small.join(prefixes.select("node"), "node", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("rest"))
+    prefixes = materialise(prefixes.join(rest, "node", "left").withColumn("rest", F.coalesce("rest", F.lit(0))), "prefixes")
+    rows = large.select(F.col("h").alias("region"), "h", "node", "n", F.lit(False).alias("stuck"))
     for depth in range(DEPTH):
         rows = materialise(_mixed(_labelled(rows, labels), "region"), "large-regions")
-        done = (F.col("cnt") <= REGION) | (F.col("cnt") > 0.9 * F.coalesce("before", F.lit(1 << 62)))
-        if depth == DEPTH - 1:
-            done = F.lit(True)
-        candidates.append(_pairs(rows.where(done), "region", [])
-                          .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+        done = F.lit(True) if depth == DEPTH - 1 else F.col("stuck") | (F.col("cnt") <= REGION)
+        candidates.append(_large_region_pairs(rows.where(done), prefixes))
         rows = rows.where(~done)
         if rows.isEmpty():
             break
         compared, rows = _split(rows, sets, depth)
         found.append(_links(compared))
-        labels = _labels(reduce(DataFrame.unionByName, found))
+        labels = _labels(found[-1].unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
     found.append(_links(sets.compare(reduce(DataFrame.unionByName, candidates), "candidates")))
-    roots = components(reduce(DataFrame.unionByName, found))
+    known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    roots = components(reduce(DataFrame.unionByName, [known, *found[-1:]]))
     met = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = met.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_node = materialise(met.join(lowest, "root").select(F.col("node").alias("__node"), "root", "component_id"),

@@ -66,6 +66,11 @@ DEPTH = 4
 BROADCAST_IDS = 1_000_000    # ids (16 bytes each) that may be broadcast
 
 
+def _signed(s: np.ndarray) -> np.ndarray:
+    """Hashes as signed longs in the same order."""
+    return (s ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _digest(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
@@ -153,7 +158,7 @@ def prefix_rows(docs: DataFrame, frequent: np.ndarray, text: str) -> DataFrame:
                 sizes.append(np.full(k, len(s), np.int32))
             cat = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cat(hs, np.uint64).view(np.int64)), pa.array(cat(hots, bool)),
+                [pa.array(_signed(cat(hs, np.uint64))), pa.array(cat(hots, bool)),
                  pa.array(cat(nodes, np.int64)), pa.array(cat(sizes, np.int32))], names=["h", "hot", "node", "n"])
 
     return docs.select(field(text).alias("t")).mapInArrow(run, "h long, hot boolean, node long, n int")
@@ -192,7 +197,8 @@ class Sets:
         to the sets of a if they are few enough, and joined by a shuffle if not."""
         pairs = materialise(pairs.select("a", "b").distinct(), name)
         side = F.broadcast(pairs) if pairs.count() <= BROADCAST_IDS else pairs
-        sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        sets = self.of(pairs.select(F.col("a").alias("node")).distinct()
+                       .unionByName(pairs.select(F.col("b").alias("node")).distinct()).distinct())
         both = (sets.select(F.col("node").alias("a"), F.col("s").alias("sa")).join(side, "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"))
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
@@ -249,10 +255,18 @@ def _large_region_pairs(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
     it shares (``rest`` bounds those of rarer shingles) can reach the threshold."""
     need, common = _needed(F.col("n_a"), F.col("n_b")), F.array_intersect("hot_a", "hot_b")
     most = F.size(common) + F.least("rest_a", "rest_b") + F.greatest(_beyond(F.col("n_a")), _beyond(F.col("n_b")))
-    # All rarer shingles of such a node are in its prefix, so those it shares with nobody are known.
-    more = (F.least("open_a", "open_b") >= need) & (F.col("h_a") == F.array_min(common)) & (most >= need)
-    rows = rows.join(prefixes, "node").withColumn("open", _beyond(F.col("n")) + F.size("hot") + F.col("rest"))
-    return (_pairs(rows, "region", ["h", "hot", "rest", "open"], more)
+    # All rarer shingles of such a node are in its prefix, so those it shares with
+    # nobody (``alone``) are known, and so are all its frequent ones up to its last
+    # in the prefix.  Both kinds of difference bound the intersection.
+    last = F.least(F.array_max("hot_a"), F.array_max("hot_b"))
+    upto = lambda c: F.size(F.filter(c, lambda x: x <= last))
+    apart = F.col("alone_a") + F.col("alone_b") + upto(F.col("hot_a")) + upto(F.col("hot_b")) - 2 * F.size(common)
+    enough = lambda lost: F.col("n_a") + F.col("n_b") - lost >= 2 * need
+    more = (enough(F.col("alone_a") + F.col("alone_b")) & (F.col("h_a") == F.array_min(common)) & (most >= need)
+            & enough(apart))
+    alone = F.col("n") - _beyond(F.col("n")) - F.size("hot") - F.col("rest")
+    rows = rows.join(prefixes, "node").withColumn("alone", alone)
+    return (_pairs(rows, "region", ["h", "hot", "rest", "alone"], more)
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 

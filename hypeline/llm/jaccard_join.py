@@ -264,9 +264,7 @@ def _large_region_pairs(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
     enough = lambda lost: F.col("n_a") + F.col("n_b") - lost >= 2 * need
     more = (enough(F.col("alone_a") + F.col("alone_b")) & (F.col("h_a") == F.array_min(common)) & (most >= need)
             & enough(apart))
-    alone = F.col("n") - _beyond(F.col("n")) - F.size("hot") - F.col("rest")
-    rows = rows.join(prefixes, "node").withColumn("alone", alone)
-    return (_pairs(rows, "region", ["h", "hot", "rest", "alone"], more)
+    return (_pairs(rows.drop("alone").join(prefixes, "node"), "region", ["h", "hot", "rest", "alone"], more)
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 
@@ -275,7 +273,8 @@ def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFram
     the comparisons and the members of the Voronoi regions with their windows.
     Voronoi regions that keep nine tenths of their parent do not separate it:
     their members stay in the parent, marked ``stuck``."""
-    pick = Window.partitionBy("region").orderBy(F.xxhash64("node", F.lit(depth)), "node")
+    # Pivots are the members with the fewest shingles of their own: the middle of a group of copies.
+    pick = Window.partitionBy("region").orderBy("alone", F.xxhash64("node", F.lit(depth)), "node")
     pivots = (rows.withColumn("r", F.row_number().over(pick)).where(F.col("r") <= PIVOTS)
               .select("region", F.col("node").alias("pivot")))
     met = materialise(rows.join(pivots, "region"), "members")
@@ -286,11 +285,11 @@ def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFram
     near = met.join(far, ["node", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
     home = F.min("d").over(Window.partitionBy("region", "node"))
     window = materialise(near.withColumn("home", home).where(F.col("d") <= F.col("home") + 2 * RADIUS + 1e-9)
-                         .select("region", "pivot", "h", "node", "n", "cnt"), "windows")
+                         .select("region", "pivot", "h", "node", "n", "alone", "cnt"), "windows")
     size = (window.groupBy("region", "pivot").agg((F.count(F.lit(1)) > 0.9 * F.max("cnt")).alias("stuck")))
     region = F.when(F.col("stuck"), F.col("region")).otherwise(F.xxhash64("region", "pivot"))
     return compared, window.join(size, ["region", "pivot"]).select(
-        region.alias("region"), "h", "node", "n", "stuck").distinct()
+        region.alias("region"), "h", "node", "n", "alone", "stuck").distinct()
 
 
 def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -338,7 +337,10 @@ def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     prefixes = large.groupBy("node").agg(F.collect_list("h").alias("hot"))
     rest = small.join(prefixes.select("node"), "node", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("rest"))
     prefixes = materialise(prefixes.join(rest, "node", "left").withColumn("rest", F.coalesce("rest", F.lit(0))), "prefixes")
-    rows = large.select(F.col("h").alias("region"), "h", "node", "n", F.lit(False).alias("stuck"))
+    alone = F.col("n") - _beyond(F.col("n")) - F.size("hot") - F.col("rest")
+    rows = materialise(large.drop("hot").join(prefixes, "node").select(F.col("h").alias("region"), "h", "node", "n",
+                                                           alone.alias("alone"), F.lit(False).alias("stuck")), "frequent-rows")
+    prefixes = prefixes.join(rows.select("node", "alone").distinct(), "node")
     for depth in range(DEPTH):
         rows = materialise(_mixed(_labelled(rows, labels), "region"), "large-regions")
         done = F.lit(True) if depth == DEPTH - 1 else F.col("stuck") | (F.col("cnt") <= REGION)

@@ -5,7 +5,7 @@ Fixed values, in the order the pipeline uses them.
 
 # Fixed values -- landing
 POST_LOOKBACK_HOURS = 48                      # posts fetched per run: the last 48 hours
-GAME_DATE_FORMATS = ("MMM dd, yyyy", "M/d/yyyy", "yyyy-M-d")   # "NOV 09, 2025", "11/09/2025", "2025-11-09"
+GAME_DATE_FORMATS = ("MMM d, yyyy", "M/d/yyyy", "yyyy-M-d")   # "NOV 09, 2025", "11/09/2025", "2025-11-09"
 SCHEDULE_DAY_FORMATS = ("M/d/yyyy", "yyyy-M-d")               # gameDate before the first space
 EASTERN_TZ = "America/New_York"               # schedule wall-clock zone
 OPTIONAL_DEFAULT = ""                         # value of an absent optional schedule key

@@ -36,13 +36,13 @@ def where_date(df: DataFrame, column: str, d) -> DataFrame:
     return df.where(F.col(column).cast("date") == _as_date(d))
 
 
-def rolling_lookback(df: DataFrame, ts: str, as_of, hours: int = POST_LOOKBACK_HOURS) -> DataFrame:
-    """Rows created in ``[as_of - hours, as_of]``.
+def rolling_lookback(df: DataFrame, ts: str, as_of, hours: int = POST_LOOKBACK_HOURS, until=None) -> DataFrame:
+    """Rows created at ``as_of - hours`` or later.
 
     The reference walks newest-first and stops at the first row older than
-    the cutoff, so the cutoff instant itself is kept; rows after ``as_of``
-    did not exist yet at fetch time.
+    the cutoff, so the cutoff instant itself is kept, and so is a row newer
+    than ``as_of`` (a batch stamp may be taken before the fetch ends).
+    ``until`` adds an upper bound, itself kept, where history is replayed.
     """
-    end = _lit(as_of)
-    start = end - F.expr(f"INTERVAL {int(hours)} HOURS")
-    return df.where((F.col(ts) >= start) & (F.col(ts) <= end))
+    rows = df.where(F.col(ts) >= _lit(as_of) - F.expr(f"INTERVAL {int(hours)} HOURS"))
+    return rows if until is None else rows.where(F.col(ts) <= _lit(until))

@@ -12,12 +12,17 @@ DEFAULT_BROADCAST_MAX_BYTES = 64 * 2**20
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Payload bytes of a row: encoded length of strings/binaries, 8 per
-    other field (an upper-bound-style estimate for the hash table)."""
+    """Payload bytes of a row: encoded length of strings/binaries, the JSON
+    length of nested values, 8 per other field (an upper-bound-style estimate
+    for the hash table)."""
     parts = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            # nested values: 8 bytes for every character of their JSON text, more than any leaf takes
+            text = F.to_json(F.struct(F.col(f.name)))
+            parts.append(F.coalesce(F.octet_length(text) * 8, F.lit(0)))
         else:
             parts.append(F.lit(8))
     return sum(parts[1:], parts[0]) if parts else F.lit(0)

@@ -21,7 +21,6 @@ from hypeline.operators.joins import broadcast_if_small
 
 # Fixed values of the adapter (mirrored in the oracle SQL).
 LOAD_TS = _dt.datetime(2024, 2, 1, 10, 0, 0)
-NAME_ITEMS = 40          # user u is named after benchmark item u % 40
 TEAMS = 30               # team number = user % 30
 POSTS_EPOCH = _dt.datetime(2024, 1, 1)
 POST_SPACING_MIN = 43    # created_utc = epoch + (doc_id % 1000) * 43 minutes
@@ -34,12 +33,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def player_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item_id, player_name): the first 2 or 3 cleaned words of a passage."""
+def player_names(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    """``events`` with the name of their user: with n passages, user u is named
+    after 2 or 3 cleaned words of passage ``u % n``, starting at a word that
+    moves on with ``u / n``.  Every passage gives names."""
     bm = table(spark, sf_dir, "benchmark")
-    words = tokenize(clean_title(F.col("text")))
-    n = F.lit(2) + F.pmod(F.col("item_id"), F.lit(2))
-    return bm.select("item_id", F.array_join(F.slice(words, F.lit(1), n), " ").alias("player_name"))
+    n = bm.count()
+    words = bm.select("item_id", tokenize(clean_title(F.col("text"))).alias("__words"))
+    length = F.lit(2) + F.pmod(F.col("item_id"), F.lit(2))
+    start = F.pmod(F.floor(F.col("user_id") / n), F.size("__words") - length + 1) + 1
+    return (events.withColumn("item_id", F.pmod(F.col("user_id"), F.lit(n)))
+            .join(broadcast_if_small(words), "item_id")
+            .withColumn("player_name", F.array_join(F.slice("__words", start.cast("int"), length.cast("int")), " "))
+            .drop("__words"))
 
 
 def _mod(c: str, m: int) -> Column:
@@ -51,8 +57,7 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = purchases(spark, sf_dir).withColumn("item_id", _mod("user_id", NAME_ITEMS))
-    names = broadcast_if_small(player_names(spark, sf_dir))
+    ev = player_names(spark, sf_dir, purchases(spark, sf_dir))
     team_no = _mod("user_id", TEAMS)
     opp_no = F.pmod(F.col("user_id") + 1 + _mod("event_id", TEAMS - 1), F.lit(TEAMS))
     team = F.concat(F.lit("T"), team_no.cast("string"))
@@ -64,7 +69,7 @@ def raw_game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pts = fgm * 2 + fg3m + ftm
     min_sec = F.concat(F.minute("ts").cast("string"), F.lit(":"),
                        F.lpad(F.second("ts").cast("string"), 2, "0"))
-    return ev.join(names, "item_id").select(
+    return ev.select(
         season_label(F.to_date("ts")).alias("SEASON_YEAR"),
         F.col("user_id").alias("PLAYER_ID"),
         F.col("player_name").alias("PLAYER_NAME"),

@@ -64,7 +64,7 @@ def _staged(spark: SparkSession, d: str):
 def q_entity_mentions(spark: SparkSession, d: str) -> DataFrame:
     """Mentions model over documents as posts and benchmark passages as player names."""
     gl, _, po = _staged(spark, d)
-    m = models.player_mentions(po, gl)
+    m = models.player_mentions(po, gl, unique_posts=True)
     return m.select("post_id", "matched_player", "subreddit", "created_utc", "created_date",
                     "num_comments", "score", "post_type")
 
@@ -94,7 +94,7 @@ def q_interval_attribution(spark: SparkSession, d: str) -> DataFrame:
 def q_daily_summary(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: staging -> mentions -> engagement per player, game and post type."""
     gl, sc, po = _staged(spark, d)
-    mentions = models.player_mentions(po, gl)
+    mentions = models.player_mentions(po, gl, unique_posts=True)
     return models.player_daily_summary(gl, sc, mentions, adapters.GAMES_FROM, adapters.POSTS_FROM)
 
 
@@ -220,13 +220,13 @@ def q_land_posts(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     fetched = docs.select(
         F.col("doc_id").cast("string").alias("post_id"), F.col("source").alias("subreddit"),
-        F.col("lang").alias("title"), F.col("n_chars").alias("score"),
+        F.col("text").alias("title"), F.col("n_chars").alias("score"),
         F.pmod(F.col("doc_id"), F.lit(97)).alias("num_comments"),
         (F.lit(1704067200) + F.pmod(F.col("doc_id"), F.lit(1000)) * 2580).alias("created_utc"),
         F.concat(F.lit("post/"), F.col("doc_id").cast("string")).alias("url"),
-        F.col("source").alias("selftext"))
+        F.concat("lang", F.lit(": "), "text").alias("selftext"))
     landed = land_posts(fetched, adapters.LOAD_TS, as_of=_dt.datetime(2024, 1, 20), lookback_hours=48)
-    return landed.select("post_id", "score", "num_comments",
+    return landed.select("post_id", "subreddit", "title", "score", "num_comments", "url", "selftext",
                          F.col("created_utc").cast("timestamp_ntz").alias("created_utc"),
                          F.col("_loaded_at_utc").cast("timestamp_ntz").alias("_loaded_at_utc"))
 
@@ -548,7 +548,7 @@ def land_post_load(spark: SparkSession, d: str, root: str, k: int) -> None:
     posts = adapters.raw_posts(spark, d)
     load_ts = _dt.datetime.combine(RUN_DAYS[k], _dt.time(10))
     at = F.lit(load_ts).cast("timestamp_ntz")
-    batch = rolling_lookback(posts, "created_utc", at, 48) if k else \
+    batch = rolling_lookback(posts, "created_utc", at, 48, until=at) if k else \
         posts.where(F.col("created_utc") <= at)
     batch = (batch.withColumn("score", F.col("score") + F.lit(10 * k))
                   .withColumn("num_comments", F.col("num_comments") + F.lit(k))

@@ -8,9 +8,10 @@ from hypeline.sinks.tables import (
     merge_upsert,
     overwrite,
     read_table,
+    table_built,
     table_exists,
     write,
 )
 
 __all__ = ["append", "assert_unique", "insert_overwrite", "materialize_table",
-           "merge_upsert", "overwrite", "read_table", "table_exists", "write"]
+           "merge_upsert", "overwrite", "read_table", "table_built", "table_exists", "write"]

@@ -29,13 +29,16 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
     """Return ``(games, rejects)``.
 
     ``games`` has the raw schedule columns (``game_date`` as midnight
-    timestamp).  A day whose ``gameDate`` does not parse and a game missing a
+    timestamp).  A document without a list of days, a day whose ``gameDate`` does not parse and a game missing a
     required key (``gameId``, ``homeTeam``/``awayTeam`` with ``teamName`` and
     ``teamId``) or with an unusable Eastern time go to ``rejects`` with a
     reason.  ``target_date`` keeps one normalised day.
     """
-    days = (docs.select(F.from_json(F.col(doc_col), SCHEDULE_DOC).alias("__d"))
-                .select(F.explode("__d.leagueSchedule.gameDates").alias("__day"))
+    read = docs.select(F.col(doc_col).alias("__doc"), F.from_json(F.col(doc_col), SCHEDULE_DOC).alias("__d"))
+    bad_docs = read.where(F.col("__d.leagueSchedule.gameDates").isNull()).select(
+        F.lit("document").alias("level"), F.lit(None).cast("string").alias("raw_date"), F.col("__doc").alias("game"),
+        F.lit("no leagueSchedule.gameDates").alias("reason"))
+    days = (read.select(F.explode("__d.leagueSchedule.gameDates").alias("__day"))
                 .select(F.col("__day.gameDate").alias("raw_date"), F.col("__day.games").alias("games")))
     date_part = F.split(F.col("raw_date"), " ")[0]
     slash_fmt, iso_fmt = SCHEDULE_DAY_FORMATS
@@ -90,7 +93,7 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
         optional("arenaName").alias("arena_name"),
         optional("arenaCity").alias("city"),
     )
-    return out, bad_days.unionByName(bad_games)
+    return out, bad_docs.unionByName(bad_days).unionByName(bad_games)
 
 
 def read_schedule_docs(spark, path: str) -> DataFrame:

@@ -31,3 +31,16 @@ def test_readme_maps_every_survey_operator():
     survey = _ids_in_survey()
     assert len(survey) >= 60
     assert survey - mapped == set()
+
+
+def test_every_mapped_query_is_registered_or_tested():
+    """The last column of the inventory names registered queries (or says ``test``)."""
+    import __spark_entry__ as E
+    readme = open(os.path.join(ROOT, "README.md"), encoding="utf-8").read()
+    table = readme.split("## Operator inventory")[1].split("\n## ")[0]
+    known = set(E.queries())
+    for line in table.splitlines():
+        if line.startswith("| ") and not line.startswith("| ids"):
+            named = re.findall(r"`([a-z0-9_*.]+)`", line.split("|")[3])
+            hits = [n for n in named if n in known or any(q.startswith(n.rstrip("*")) for q in known if n.endswith("*"))]
+            assert hits or "test" in line.split("|")[3], line

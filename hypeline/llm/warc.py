@@ -13,7 +13,8 @@ archives: a record is valid UTF-8 because headers are ASCII and the payload is
 a page's UTF-8 text, and the writer's line separator is the last of the two
 line ends that close a record.  Files are gzip-compressed as a whole.  They are
 read as whole files and cut by ``Content-Length``, so a payload may contain
-anything, WARC headers included; ``BYTES_PER_FILE`` bounds a file.
+anything, WARC headers included; ``RECORDS_PER_FILE`` and the size of a shuffle
+partition bound a file.
 
 Null and empty cases: a null payload is written as an empty one and is equal
 to it; equal payloads are those of equal SHA-1 and length; payloads shorter
@@ -36,7 +37,7 @@ from hypeline.llm.common import bounded_batches, field
 from hypeline.session import scratch_path
 
 MIN_BYTES = 0
-BYTES_PER_FILE = 16 << 20
+RECORDS_PER_FILE = 10_000
 EOL = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"   # fixed by the WARC standard
 ID_PREFIX = "urn:page:"
@@ -102,14 +103,12 @@ def _record(date: str) -> Column:
         F.lit(EOL), F.when(response, F.col("payload")).otherwise(none), F.lit(EOL))
 
 
-def write_archive(rows: DataFrame, path: str, date: str = DATE, bytes_per_file: int = BYTES_PER_FILE) -> None:
-    """Write marked rows as WARC files.  Rows are dealt to files by page_id hash,
-    as many as the bytes to write ask for, so no file outgrows a task."""
-    lines = rows.select(_record(date).alias("value"))
-    total = rows.agg(F.sum(F.when(F.col("record_type") == "response", F.col("payload_bytes"))
-                           .otherwise(0) + 400)).first()[0] or 0
-    files = max(1, -(-total // bytes_per_file))
-    (lines.repartition(files).write.option("lineSep", EOL).option("compression", "gzip").text(path))
+def write_archive(rows: DataFrame, path: str, date: str = DATE, records_per_file: int = RECORDS_PER_FILE) -> None:
+    """Write marked rows as WARC files.  Payloads were dealt out by digest when
+    they were deduplicated, in partitions that adaptive execution sizes, and are
+    written from there without another shuffle."""
+    (rows.select(_record(date).alias("value")).write.option("lineSep", EOL).option("compression", "gzip")
+     .option("maxRecordsPerFile", records_per_file).text(path))
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

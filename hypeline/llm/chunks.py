@@ -1,21 +1,20 @@
 """Substring deduplication by content-defined chunking.
 
-A gear hash rolls over the bytes of every text; positions where its low bits
-are zero are candidate cuts, and a candidate is a cut if the candidate before
-it is at least ``MIN_CHUNK`` bytes away.  Both tests look at nearby bytes only,
-so an insertion moves no cut outside its neighbourhood, and a passage is cut
-alike in every document that holds it.  Stretches without a cut are divided
-every ``MAX_CHUNK`` bytes.
+A gear hash rolls over the bytes of every text; positions where its top bits
+are zero are candidate cuts.  From one cut, the next is the first candidate at
+least ``MIN_CHUNK`` and at most ``MAX_CHUNK`` bytes on.  Candidates depend on
+nearby bytes only, so after an insertion, or from the start of a copied
+passage, cuts meet again at a candidate that both texts reach, usually within
+a chunk or two; the rest of the passage is cut alike everywhere.
 
 Chunks are deduplicated by a 128-bit digest.  The first occurrence, by doc_id
 (null last) and position, stays; later ones are repeats.  Neighbouring repeats
 of a document are merged, and merged spans of at least ``MIN_SPAN`` bytes are
 reported (a shorter repeat is a common phrase rather than a passage).
 
-The digest counts are pre-aggregated before their shuffle, and only digests
-found twice are joined back, so a chunk held by a third of all documents is
-one row per task there; the join's hot digests are split by adaptive skew
-handling.
+Digests are counted first (pre-aggregated, so a chunk held by a third of all
+documents is one row per task), and only those found twice are joined back;
+the joins' hot digests are split by adaptive skew handling.
 
 Null and empty cases: a null or empty text has no chunks; a row repeated with
 the same doc_id and text is the same document and no repeat of itself; rows
@@ -25,6 +24,8 @@ table gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,12 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hypeline.llm import tokens
-from hypeline.llm.common import bounded_batches, field, materialise
+from hypeline.llm.common import bounded_batches, field, map_rows, materialise
 
-CUT_BITS = 5                 # a candidate every 32 bytes on average
+CUT_BITS = 4                 # a candidate every 16 bytes on average
 MIN_CHUNK = 24
 MAX_CHUNK = 160
-MIN_SPAN = 96
+MIN_SPAN = 40                # about seven words: longer than chance repeats
 _ROLL = 32                   # bytes the rolling hash sees
 
 _GEAR = (tokens.mix64(np.arange(1, 257, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -62,14 +63,13 @@ def cuts(raw: np.ndarray) -> np.ndarray:
     if n == 0:
         return np.zeros(1, np.int64)
     # The top bits depend on the whole rolling window, the low ones on a few bytes only.
-    at = np.flatnonzero(gear_hashes(raw) >> np.uint32(32 - CUT_BITS) == 0) + 1
-    at = at[np.diff(at, prepend=-MIN_CHUNK) >= MIN_CHUNK]
-    borders = np.unique(np.concatenate([[0], at, [n]]))
-    gaps = np.diff(borders)
-    if (long := gaps > MAX_CHUNK).any():
-        extra = [np.arange(a + MAX_CHUNK, b, MAX_CHUNK) for a, b in zip(borders[:-1][long], borders[1:][long])]
-        borders = np.unique(np.concatenate([borders, *extra]))
-    return borders
+    at = (np.flatnonzero(gear_hashes(raw) >> np.uint32(32 - CUT_BITS) == 0) + 1).tolist()
+    borders, here, i = [0], 0, 0
+    while here < n:
+        i = bisect_left(at, here + MIN_CHUNK, i)
+        here = min(at[i] if i < len(at) else n, here + MAX_CHUNK, n)
+        borders.append(here)
+    return np.array(borders, np.int64)
 
 
 def chunk_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -105,10 +105,11 @@ def repeated_chunks(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """Every chunk that is not the first occurrence of its digest, with that
     first occurrence's doc_id and start."""
     chunks = materialise(chunk_rows(docs, text, key), "chunks")
+    often = chunks.groupBy("a", "b").count().where("count > 1").select("a", "b")
+    shared = materialise(chunks.join(often, ["a", "b"]), "shared-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
-    firsts = (chunks.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("final"))
-              .where("first != final").select("a", "b", "first"))
-    return (chunks.join(firsts, ["a", "b"]).where(place != F.col("first"))
+    firsts = shared.groupBy("a", "b").agg(F.min(place).alias("first"))
+    return (shared.join(firsts, ["a", "b"]).where(place != F.col("first"))
             .select("doc_id", "start", "size", F.col("first.doc_id").alias("first_doc_id"),
                     F.col("first.start").alias("first_start")).distinct())
 
@@ -146,9 +147,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", min
                 t, s = t.as_py(), s.as_py()
                 out.append(t if t is None or not s else cut_out(t, [(x["start_byte"], x["n_bytes"]) for x in s]))
             cols = [batch.column(i) if i != at else pa.array(out, pa.string()) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            yield pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(names))])
 
-    return met.mapInArrow(run, docs.schema)
+    return map_rows(met, run, names)
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> str:

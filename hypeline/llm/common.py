@@ -53,6 +53,15 @@ def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def map_rows(df: DataFrame, run, names: list[str] | None = None) -> DataFrame:
+    """``df.mapInArrow(run)`` with the schema of ``df`` (or of its columns
+    ``names``).  Columns have plain names inside, whatever they are called."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    kept = range(len(df.columns) if names is None else len(names))
+    schema = T.StructType([plain.schema.fields[i] for i in kept])
+    return plain.mapInArrow(run, schema).toDF(*(names or df.columns))
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -114,5 +123,5 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str,
             .drop("__group", PART, "__run", "__before"))
 
 
-__all__ = ["WORD", "GAP", "ROW_ID", "table", "field", "materialise", "discard", "bounded_batches", "word_count",
+__all__ = ["WORD", "GAP", "ROW_ID", "table", "field", "materialise", "discard", "bounded_batches", "map_rows", "word_count",
            "row_fingerprint", "with_row_id", "parts_for", "running_total"]

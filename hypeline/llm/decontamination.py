@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hypeline.llm import tokens
-from hypeline.llm.common import bounded_batches, field
+from hypeline.llm.common import bounded_batches, field, map_rows
 
 MASKS = ("111111", "110101011", "101100111", "111001101")   # fixed; six words looked at by each
 MIN_MATCHED = 12
@@ -201,7 +201,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                     keep[row] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = map_rows(docs, clean)
     return docs
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hypeline.llm import tokens
-from hypeline.llm.common import bounded_batches, field
+from hypeline.llm.common import bounded_batches, field, map_rows
 from hypeline.llm.labelled import holdout, sample_labels
 
 BITS = 18
@@ -179,7 +179,7 @@ def keep_civil(docs: DataFrame, model: Model, text: str = "text", reject: float
         for batch in batches:
             yield batch.filter(pa.array(shared.value.severity(batch.column(at)) < reject))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)
 
 
 __all__ = ["Model", "features", "grades", "fit_ordinal", "train", "score", "keep_civil", "REJECT", "GRADES"]

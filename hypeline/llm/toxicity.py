@@ -7,11 +7,10 @@ of thresholds.
 
 Features are the presence of hashed lower-cased words and of their first four
 and five bytes (which join the inflected forms of a stem).  Labels say only
-toxic or not, so a toxic training document gets its grade from the share of
-its words that are markers of the toxic class in the training sample (grade 1,
-2 or 3 by thirds of that share).  Weights are fitted with an L1 penalty, which
-leaves the words of ordinary prose at zero, so severity does not grow with the
-length of a text.
+toxic or not, so a toxic training document gets its grade from the number of
+different markers of the toxic class in it (grade 1, 2 or 3 by thirds).  Only markers get a weight, which is never
+negative and carries an L1 penalty: the words of ordinary prose count nothing,
+so severity neither grows with the length of a text nor hides in it.
 
 The fit uses at most about ``FIT_ROWS`` labelled rows, the scoring every word
 of every text.
@@ -42,9 +41,10 @@ FIT_ROWS = 8000
 FOLDS, FOLD = 5, 0           # ids with crc32 mod 5 = 0 are never fitted on
 GRADES = 3                   # severity grades above 0
 PREFIXES = (4, 5)
-REJECT = 0.5                 # expected severity from which a document is rejected
+REJECT = 0.4                 # expected severity from which a document is rejected
 L1 = 3e-4
-STEPS = 150
+MARKER_ODDS = 10
+STEPS = 300
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,17 +82,22 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def grades(toxic: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Severity grades of the training rows: 0 for clean ones, else 1..GRADES by
-    the share of the row's features that mark the toxic class."""
-    n = len(toxic)
+def markers(toxic: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether a feature marks the toxic class: its share of toxic rows, lowered
+    by two standard errors, is at least ``MARKER_ODDS`` times its share of clean rows."""
     in_toxic = np.bincount(ids[toxic[rows] == 1], minlength=1 << BITS)
     in_clean = np.bincount(ids[toxic[rows] == 0], minlength=1 << BITS)
-    odds = (in_toxic + 0.5) / (toxic.sum() + 1) / ((in_clean + 0.5) / ((1 - toxic).sum() + 1))
-    marker = (odds > 10) & (in_toxic >= 3)
-    share = np.bincount(rows, marker[ids], minlength=n) / np.maximum(np.bincount(rows, minlength=n), 1)
-    cuts = np.quantile(share[toxic == 1], np.arange(1, GRADES) / GRADES)
-    return np.where(toxic == 1, 1 + np.searchsorted(cuts, share, side="right"), 0)
+    sure = np.maximum(in_toxic - 2 * np.sqrt(in_toxic), 0) / (toxic.sum() + 1)
+    return sure > MARKER_ODDS * (in_clean + 0.5) / ((1 - toxic).sum() + 1)
+
+
+def grades(toxic: np.ndarray, rows: np.ndarray, ids: np.ndarray, marker: np.ndarray) -> np.ndarray:
+    """Severity grades of the training rows: 0 for clean ones, else 1..GRADES by
+    the number of different markers in it."""
+    n = len(toxic)
+    found = np.bincount(rows, marker[ids], minlength=n)
+    cuts = np.quantile(found[toxic == 1], np.arange(1, GRADES) / GRADES)
+    return np.where(toxic == 1, 1 + np.searchsorted(cuts, found, side="right"), 0)
 
 
 def fit_ordinal(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, steps: int = STEPS, l1: float = L1) -> Model:
@@ -119,7 +124,7 @@ def fit_ordinal(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, steps: int = S
         rate = 0.1 / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-5)
         par = par - rate * m / (1 - 0.9 ** t)
         shrink = np.minimum(rate[:d] * l1, 0.05)
-        par[:d] = np.sign(par[:d]) * np.maximum(np.abs(par[:d]) - shrink, 0)
+        par[:d] = np.maximum(par[:d] - shrink, 0)      # evidence only adds to severity
     weights = np.zeros(1 << BITS, np.float32)
     weights[used] = par[:d]
     return Model(weights, np.concatenate([par[d:d + 1], par[d] + np.cumsum(np.exp(par[d + 1:]))]))
@@ -150,7 +155,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, text: st
     parts = [np.frombuffer(x[2], np.int32) for x in found]
     row = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
     ids = np.concatenate(parts)
-    return fit_ordinal(row, ids, grades(toxic, row, ids))
+    marker = markers(toxic, row, ids)
+    y, used = grades(toxic, row, ids, marker), marker[ids]
+    return fit_ordinal(row[used], ids[used], y)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:

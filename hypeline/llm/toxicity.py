@@ -25,7 +25,6 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,57 +35,73 @@ from hypeline.llm import tokens
 from hypeline.llm.common import bounded_batches, field, map_rows
 from hypeline.llm.labelled import holdout, sample_labels
 
-BITS = 18
+BITS = 18                    # of a filter before the exact look-up of a feature
 FIT_ROWS = 8000
 FOLDS, FOLD = 5, 0           # ids with crc32 mod 5 = 0 are never fitted on
 GRADES = 3                   # severity grades above 0
 PREFIXES = (4, 5)
-REJECT = 0.4                 # expected severity from which a document is rejected
+REJECT = 0.15                # rise of the expected severity from which a document is rejected
 L1 = 3e-4
 MARKER_ODDS = 10
 STEPS = 300
 
 
-def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, feature) of every word and prefix of a batch, and the rows' word counts."""
+def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) of every word and prefix of a batch; features are 64-bit hashes."""
     raw, off = tokens.utf8(column)
     raw = tokens.lower_ascii(raw)
     start, end, first = tokens.word_spans(raw, off)
-    rows = np.repeat(np.arange(len(off) - 1, dtype=np.int32), np.diff(first))
+    rows = np.repeat(np.arange(len(off) - 1, dtype=np.int64), np.diff(first))
     kinds = [tokens.word_hashes(raw, start, end)]
     kinds += [tokens.word_hashes(raw, start, np.minimum(end, start + n)) + np.uint64(n << 8) for n in PREFIXES]
-    shift = np.uint64(64 - BITS)
-    ids = np.concatenate([(tokens.mix64(k + np.uint64(i)) >> shift).astype(np.int32) for i, k in enumerate(kinds)])
-    return np.tile(rows, len(kinds)), ids, np.diff(first)
+    return np.tile(rows, len(kinds)), np.concatenate(kinds)
 
 
 def _distinct(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    pairs = np.unique((rows.astype(np.int64) << BITS) | ids)
-    return pairs >> BITS, pairs & ((1 << BITS) - 1)
+    """The different (row, feature) pairs, by row."""
+    order = np.lexsort((ids, rows))
+    rows, ids = rows[order], ids[order]
+    first = np.ones(len(rows), bool)
+    first[1:] = (rows[1:] != rows[:-1]) | (ids[1:] != ids[:-1])
+    return rows[first], ids[first]
 
 
-@dataclass
 class Model:
-    weights: np.ndarray      # float32, one per feature, mostly zero
-    theta: np.ndarray        # increasing thresholds
+    """Weights of the marker features, by their sorted hashes, and the thresholds."""
+
+    def __init__(self, keys: np.ndarray, weights: np.ndarray, theta: np.ndarray) -> None:
+        self.keys, self.weights, self.theta = keys, weights, theta
+        self.seen = np.zeros(1 << BITS, bool)
+        self.seen[(keys >> np.uint64(64 - BITS)).astype(np.int64)] = True
+        #: Severity of a text without markers: the share of toxic rows that no marker explains.
+        self.base = float(_sigmoid(-theta).sum())
 
     def severity(self, column: pa.Array) -> np.ndarray:
-        rows, ids, _ = features(column)
-        hit = self.weights[ids] != 0
-        rows, ids = _distinct(rows[hit], ids[hit])
-        eta = np.bincount(rows, self.weights[ids], minlength=len(column))
+        rows, ids = features(column)
+        near = self.seen[(ids >> np.uint64(64 - BITS)).astype(np.int64)]
+        rows, ids = _distinct(rows[near], ids[near])
+        eta = np.zeros(len(column))
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, ids), len(self.keys) - 1)
+            eta = np.bincount(rows, self.weights[at] * (self.keys[at] == ids), minlength=len(column))
         return _sigmoid(eta[:, None] - self.theta).sum(axis=1)
 
+    def toxic(self, severity: np.ndarray, reject: float) -> np.ndarray:
+        """Rejected on evidence: by how much markers raise the severity."""
+        return severity - self.base >= reject
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
 def markers(toxic: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Whether a feature marks the toxic class: its share of toxic rows, lowered
-    by two standard errors, is at least ``MARKER_ODDS`` times its share of clean rows."""
-    in_toxic = np.bincount(ids[toxic[rows] == 1], minlength=1 << BITS)
-    in_clean = np.bincount(ids[toxic[rows] == 0], minlength=1 << BITS)
+    """Whether a feature (a number from 0) marks the toxic class: its share of
+    toxic rows, lowered by two standard errors, is at least ``MARKER_ODDS``
+    times its share of clean rows."""
+    size = int(ids.max(initial=-1)) + 1
+    in_toxic = np.bincount(ids[toxic[rows] == 1], minlength=size)
+    in_clean = np.bincount(ids[toxic[rows] == 0], minlength=size)
     sure = np.maximum(in_toxic - 2 * np.sqrt(in_toxic), 0) / (toxic.sum() + 1)
     return sure > MARKER_ODDS * (in_clean + 0.5) / ((1 - toxic).sum() + 1)
 
@@ -100,15 +115,16 @@ def grades(toxic: np.ndarray, rows: np.ndarray, ids: np.ndarray, marker: np.ndar
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, found, side="right"), 0)
 
 
-def fit_ordinal(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, steps: int = STEPS, l1: float = L1) -> Model:
-    """Maximum likelihood of the cumulative-link model by Adam, with a proximal
-    L1 step on the weights.  Deterministic: full batches, fixed order."""
-    used, ids = np.unique(ids, return_inverse=True)
-    k, n = int(y.max()), len(y)
+def fit_ordinal(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, size: int, steps: int = STEPS,
+                l1: float = L1) -> tuple[np.ndarray, np.ndarray]:
+    """(weights of ``size`` features, thresholds): maximum likelihood of the
+    cumulative-link model by Adam, with a proximal L1 step on the weights.
+    Deterministic: full batches, fixed order."""
+    k, n, d = GRADES, len(y), size
     above = np.array([(y > j).mean() for j in range(k)])
     theta = np.log((1 - above + 1e-6) / (above + 1e-6))
-    par = np.concatenate([np.zeros(len(used)), theta[:1], np.log(np.maximum(np.diff(theta), 1e-2))])
-    m, v, d = np.zeros_like(par), np.zeros_like(par), len(used)
+    par = np.concatenate([np.zeros(d), theta[:1], np.log(np.maximum(np.diff(theta), 1e-2))])
+    m, v = np.zeros_like(par), np.zeros_like(par)
     for t in range(1, steps + 1):
         eta = np.bincount(rows, par[ids], minlength=n)
         theta = np.concatenate([par[d:d + 1], par[d] + np.cumsum(np.exp(par[d + 1:]))])
@@ -125,9 +141,19 @@ def fit_ordinal(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, steps: int = S
         par = par - rate * m / (1 - 0.9 ** t)
         shrink = np.minimum(rate[:d] * l1, 0.05)
         par[:d] = np.maximum(par[:d] - shrink, 0)      # evidence only adds to severity
-    weights = np.zeros(1 << BITS, np.float32)
-    weights[used] = par[:d]
-    return Model(weights, np.concatenate([par[d:d + 1], par[d] + np.cumsum(np.exp(par[d + 1:]))]))
+    return par[:d], np.concatenate([par[d:d + 1], par[d] + np.cumsum(np.exp(par[d + 1:]))])
+
+
+def fit(rows: np.ndarray, ids: np.ndarray, toxic: np.ndarray) -> Model:
+    """Model from distinct (row, feature) pairs and the rows' labels."""
+    if len(toxic) == 0 or toxic.min() == toxic.max():
+        return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES, np.inf))
+    keys, ids = np.unique(ids, return_inverse=True)
+    marker = markers(toxic, rows, ids)
+    y, used = grades(toxic, rows, ids, marker), marker[ids]
+    place = np.cumsum(marker) - 1
+    weights, theta = fit_ordinal(rows[used], place[ids[used]], y, int(marker.sum()))
+    return Model(keys[marker], weights, theta)
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, text: str = "text",
@@ -139,9 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, text: st
 
     def extract(batches):
         for batch in batches:
-            row, ids = _distinct(*features(batch.column(1))[:2])
+            row, ids = _distinct(*features(batch.column(1)))
             cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            ids = ids.astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2),
                  pa.array([ids[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
@@ -150,18 +175,13 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, text: st
     got = rows.mapInArrow(extract, "doc_id long, label int, ids binary").toArrow()
     found = sorted(set(zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), got["ids"].to_pylist())))
     toxic = np.array([int(x[1] > 0) for x in found], np.int64)
-    if len(found) == 0 or toxic.min() == toxic.max():
-        return Model(np.zeros(1 << BITS, np.float32), np.full(GRADES, np.inf))
-    parts = [np.frombuffer(x[2], np.int32) for x in found]
-    row = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    ids = np.concatenate(parts)
-    marker = markers(toxic, row, ids)
-    y, used = grades(toxic, row, ids, marker), marker[ids]
-    return fit_ordinal(row[used], ids[used], y)
+    parts = [np.frombuffer(x[2], np.uint64) for x in found]
+    rows = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    return fit(rows, np.concatenate(parts) if parts else np.zeros(0, np.uint64), toxic)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, held_out, severity (0 to GRADES) and toxic (1: severity from ``REJECT`` on) of every row."""
+    """doc_id, held_out, severity (0 to GRADES) and toxic (1: markers raise it by ``REJECT``) of every row."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -169,7 +189,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
         for batch in batches:
             severity = shared.value.severity(batch.column(2))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(severity), pa.array((severity >= REJECT).astype(np.int32))],
+                [batch.column(0), batch.column(1), pa.array(severity), pa.array(shared.value.toxic(severity, REJECT).astype(np.int32))],
                 names=["doc_id", "held_out", "severity", "toxic"])
 
     return (docs.select(field(key).cast("long").alias("doc_id"), holdout(field(key), FOLDS, FOLD).alias("held_out"),
@@ -178,15 +198,16 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
 
 
 def keep_civil(docs: DataFrame, model: Model, text: str = "text", reject: float = REJECT) -> DataFrame:
-    """The documents with a severity below ``reject``, with all their columns."""
+    """The documents whose severity markers raise by less than ``reject``, with all their columns."""
     bounded_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.severity(batch.column(at)) < reject))
+            severity = shared.value.severity(batch.column(at))
+            yield batch.filter(pa.array(~shared.value.toxic(severity, reject)))
 
     return map_rows(docs, run)
 
 
-__all__ = ["Model", "features", "grades", "fit_ordinal", "train", "score", "keep_civil", "REJECT", "GRADES"]
+__all__ = ["Model", "features", "markers", "grades", "fit_ordinal", "fit", "train", "score", "keep_civil", "REJECT", "GRADES"]

@@ -55,13 +55,14 @@ def flatten_schedule(docs: DataFrame, doc_col: str = "doc", target_date=None):
         good_days = good_days.where(F.col("__date") == F.lit(target_date).cast("date"))
     g = F.col("game")
     # Parse each game once: its fields, and the key lists of the game and of
-    # both team objects (presence tests are then array lookups).
-    games = (good_days.select("raw_date", "__date", F.explode("games").alias("game"))
-                      .select("raw_date", "__date", "game",
-                              F.from_json(g, SCHEDULE_GAME).alias("__g"),
-                              F.json_object_keys(g).alias("__k"),
-                              F.json_object_keys(F.get_json_object(g, "$.homeTeam")).alias("__hk"),
-                              F.json_object_keys(F.get_json_object(g, "$.awayTeam")).alias("__ak")))
+    # both team objects (presence tests are then array lookups).  Parsing inside
+    # the generator fixes the result: as a projection it would be repeated in
+    # every filter and column that names it.
+    parsed = F.transform("games", lambda t: F.struct(
+        t.alias("game"), F.from_json(t, SCHEDULE_GAME).alias("__g"), F.json_object_keys(t).alias("__k"),
+        F.json_object_keys(F.get_json_object(t, "$.homeTeam")).alias("__hk"),
+        F.json_object_keys(F.get_json_object(t, "$.awayTeam")).alias("__ak")))
+    games = good_days.select("raw_date", "__date", F.explode(parsed).alias("__x")).select("raw_date", "__date", "__x.*")
     k, hk, ak = F.col("__k"), F.col("__hk"), F.col("__ak")
     required = (_in(k, "gameId") & _in(hk, "teamName") & _in(hk, "teamId")
                 & _in(ak, "teamName") & _in(ak, "teamId"))

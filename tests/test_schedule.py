@@ -69,3 +69,11 @@ def test_land_schedule_modes(spark, scratch):
     rows, _, mode = land_schedule(docs, load, season="2025-26")
     assert mode == "overwrite" and sorted(r.game_id for r in rows.collect()) == ["1", "2"]
     assert {r._loaded_at_utc.replace(tzinfo=None) for r in rows.collect()} == {load}
+
+
+def test_each_game_is_parsed_once(spark):
+    from hypeline.sources import flatten_schedule
+    games, rejects = flatten_schedule(spark.createDataFrame([("{}",)], "doc string"))
+    for df in (games, rejects.where("level = 'game'")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(StructField(gameId") <= 1

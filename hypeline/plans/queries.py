@@ -1,7 +1,8 @@
 """Driver queries: one per operator group, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the given tables (or data Spark derives from them) in
-full.  Computed columns carry the same aliases as the oracle SQL in
+full, except where a date filter is its subject and in ``incremental_runs``,
+whose four dates are fixed (``incremental_cycle`` covers every post).  Computed columns carry the same aliases as the oracle SQL in
 :mod:`hypeline.plans.oracles`.
 """
 
@@ -542,11 +543,12 @@ def land_static_fixture(spark: SparkSession, d: str, root: str) -> None:
     overwrite(to_contract(raw_player_list(spark, d), RAW_PLAYER_LIST), f"{raw}/nba_player_list")
 
 
-def land_post_load(spark: SparkSession, d: str, root: str, k: int) -> None:
-    """Post load ``k``: the first holds all history up to its load time,
-    later ones re-fetch the last 48 h with grown engagement."""
+def land_post_load(spark: SparkSession, d: str, root: str, k: int, load_ts: _dt.datetime | None = None) -> None:
+    """Post load ``k`` (by default at 10:00 of ``RUN_DAYS[k]``): the first holds
+    all history up to its load time, later ones re-fetch the last 48 h with
+    grown engagement."""
     posts = adapters.raw_posts(spark, d)
-    load_ts = _dt.datetime.combine(RUN_DAYS[k], _dt.time(10))
+    load_ts = load_ts or _dt.datetime.combine(RUN_DAYS[k], _dt.time(10))
     at = F.lit(load_ts).cast("timestamp_ntz")
     batch = rolling_lookback(posts, "created_utc", at, 48, until=at) if k else \
         posts.where(F.col("created_utc") <= at)
@@ -581,6 +583,40 @@ QUERIES.update({
 })
 
 
+def cycle_days(spark: SparkSession, d: str) -> list[_dt.date]:
+    """Logical dates of four daily runs, each loaded at 10:00 of the following
+    day (as the reference schedules them), the last load after the newest post."""
+    newest = adapters.raw_posts(spark, d).agg(F.max("created_utc")).first()[0]
+    if newest is None:
+        return RUN_DAYS
+    last = (newest - _dt.timedelta(hours=10)).date()
+    return [last - _dt.timedelta(days=n) for n in (3, 2, 1, 0)]
+
+
+def q_incremental_cycle(spark: SparkSession, d: str) -> DataFrame:
+    """Daily cycle over every post: a full refresh, then three incremental
+    runs.  Returns the staged posts, the mentions and the daily summary that
+    the cycle leaves, told apart by ``table_name``."""
+    root = scratch_path(spark, "cycle")
+    land_static_fixture(spark, d, root)
+    paths = {}
+    for k, day in enumerate(cycle_days(spark, d)):
+        land_post_load(spark, d, root, k, _dt.datetime.combine(day + _dt.timedelta(days=1), _dt.time(10)))
+        paths = run(spark, root, day, full_refresh=(k == 0),
+                    games_from=adapters.GAMES_FROM, posts_from=adapters.POSTS_FROM)
+    out = None
+    for name in ("stg_reddit_nba_posts", "int_reddit_player_mentions", "fct_player_daily_summary"):
+        part = read_table(spark, paths[name]).withColumn("table_name", F.lit(name))
+        for c in ("created_utc", "game_start_utc", "_loaded_at_utc"):
+            if c in part.columns:
+                part = part.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+QUERIES["incremental_cycle"] = q_incremental_cycle
+
+
 # -- streaming landing ---------------------------------------------------------------
 def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
     """Land ``events`` with the streaming file source and the exactly-once

@@ -33,7 +33,7 @@ from hypeline.sinks import append, insert_overwrite, materialize_table, merge_up
 from hypeline.sources.landing import land_game_logs, land_posts, to_contract, union_batches
 from hypeline.sources.schedule import flatten_schedule, has_key
 from hypeline.sources.schemas import RAW_GAME_LOGS, RAW_PLAYER_LIST, RAW_POSTS, RAW_SCHEDULE
-from hypeline.streaming import land_stream
+from hypeline.streaming import is_folder, land_stream
 
 RUN_DT = _dt.date(2024, 1, 15)
 
@@ -619,13 +619,16 @@ QUERIES["incremental_cycle"] = q_incremental_cycle
 
 # -- streaming landing ---------------------------------------------------------------
 def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
-    """Land ``events`` with the streaming file source and the exactly-once
-    Parquet file sink (AvailableNow), stamped with a fixed load time, and
-    read the table back."""
+    """Land ``events`` (one file or a folder of part files) with the streaming
+    file source and the exactly-once Parquet file sink (AvailableNow), stamped
+    with a fixed load time, and read the table back."""
     schema = table(spark, d, "events").schema
     target, ckpt = scratch_path(spark, "stream_target"), scratch_path(spark, "stream_ckpt")
-    land_stream(spark, d, schema, target, ckpt, glob="events.parquet",
-                batch_ts=adapters.LOAD_TS)
+    source = f"{d.rstrip('/')}/events.parquet"
+    if is_folder(spark, source):
+        land_stream(spark, source, schema, target, ckpt, batch_ts=adapters.LOAD_TS)
+    else:
+        land_stream(spark, d, schema, target, ckpt, glob="events.parquet", batch_ts=adapters.LOAD_TS)
     out = read_table(spark, target)
     return out.select("event_id", "user_id", "event_type", "ts",
                       F.col("_loaded_at_utc").cast("timestamp_ntz").alias("_loaded_at_utc"))

@@ -1,5 +1,5 @@
 """Continuous landing with Structured Streaming."""
 
-from hypeline.streaming.landing import land_stream
+from hypeline.streaming.landing import is_folder, land_stream
 
-__all__ = ["land_stream"]
+__all__ = ["is_folder", "land_stream"]

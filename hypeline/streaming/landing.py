@@ -24,6 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder in whatever store holds it (a table of part files)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).isDirectory()
+
+
 def land_stream(spark: SparkSession, source: str, schema: T.StructType, target: str,
                 checkpoint: str, fmt: str = "parquet",
                 transform: Callable[[DataFrame], DataFrame] | None = None,

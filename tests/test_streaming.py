@@ -29,3 +29,14 @@ def test_stream_landing_stamps_one_time_per_batch(spark, scratch):
     land_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt)
     stamps = {r._loaded_at_utc for r in read_table(spark, target).collect()}
     assert len(stamps) == 1
+
+
+def test_stream_query_lands_a_file_and_a_folder_of_parts(spark, scratch):
+    from hypeline.plans.queries import q_stream_landing
+    sf = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    want = sorted(r.event_id for r in events.select("event_id").collect())
+    folder = scratch("sf")
+    events.repartition(3).write.parquet(f"{folder}/events.parquet")
+    for d in (sf, folder, folder + "/"):
+        assert sorted(r.event_id for r in q_stream_landing(spark, d).select("event_id").collect()) == want

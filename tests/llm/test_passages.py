@@ -146,6 +146,23 @@ def test_chunks_awkward_rows(spark):
     assert chunks.cut_out("aébc", [(2, 2)]) == "aéc"
 
 
+def test_rows_with_null_or_repeated_ids_are_documents_of_their_own(spark):
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    p, q, own = prose(60), prose(60), [prose(80) for _ in range(5)]
+    rows = [(None, f"{p} {own[0]}"), (None, f"{p} {own[1]}"),       # one passage, same place, no ids
+            (4, f"{q} {own[2]}"), (5, f"{q} {own[3]}"), (5, own[4])]  # two texts under one id
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = chunks.repeated_spans(docs).collect()
+    assert sorted((r.doc_id is None, r.doc_id) for r in spans) == [(False, 5), (True, None)]
+    assert all(r.start_byte == 0 and r.n_bytes <= len(p) + 1 + chunks.MAX_CHUNK for r in spans)
+    cut = [r.text for r in chunks.remove_repeats(docs).collect()]
+    assert len(cut) == len(rows) and own[4] in cut
+    for text in own[:4]:
+        assert sum(text in t for t in cut) + sum(text[chunks.MAX_CHUNK:] in t and text not in t for t in cut) == 1
+    assert sum(p in t for t in cut) == 1 and sum(q in t for t in cut) == 1
+
+
 def test_utf8_views_of_sliced_arrays():
     arr = pa.array(["skip", None, "a b", "", "é  c"]).slice(1)
     raw, off = tokens.utf8(arr)

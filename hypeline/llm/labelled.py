@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hypeline.llm.common import field
+from hypeline.llm.common import ROW_ID, field, row_fingerprint
 
 
 def holdout(key: Column, folds: int, fold: int) -> Column:
@@ -31,4 +31,15 @@ def sample_labels(labels: DataFrame, label: str, rows: int, folds: int, fold: in
             .where("label = __max").drop("__max"))
 
 
-__all__ = ["holdout", "unit", "sample_labels"]
+def sampled_texts(docs: DataFrame, chosen: DataFrame, text: str, key: str) -> DataFrame:
+    """doc_id, text ``t`` and label of the ids in ``chosen`` (see ``sample_labels``):
+    one row per id, the one with the smallest fingerprint, however often an id
+    is repeated.  Each task forwards at most one row per id."""
+    met = docs.join(F.broadcast(chosen.select(F.col("doc_id").alias("__id"), F.col("label").alias("__label"))),
+                    field(key) == F.col("__id"))
+    rows = met.select(F.col("__id"), F.col("__label"), field(text).alias("__t"), *row_fingerprint(docs))
+    return (rows.groupBy("__id", "__label").agg(F.min(F.struct(*ROW_ID, "__t")).alias("__row"))
+            .select(F.col("__id").alias("doc_id"), F.col("__row.__t").alias("t"), F.col("__label").alias("label")))
+
+
+__all__ = ["holdout", "unit", "sample_labels", "sampled_texts"]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from hypeline.llm import tokens
 from hypeline.llm.common import bounded_batches, field
-from hypeline.llm.labelled import holdout, sample_labels
+from hypeline.llm.labelled import holdout, sample_labels, sampled_texts
 
 FIT_ROWS = 20000
 FOLDS, FOLD = 5, 0           # ids with crc32 mod 5 = 0 are held out
@@ -124,8 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, text: st
           key: str = "doc_id", label: str = "quality") -> Model | None:
     """Fit on a bounded sample; only its statistics (ten numbers a row) reach the driver."""
     bounded_batches(docs.sparkSession)
-    chosen = F.broadcast(sample_labels(labels, label, fit_rows, FOLDS, FOLD))
-    rows = docs.select(field(key).alias("doc_id"), field(text).alias("t")).join(chosen, "doc_id")
+    rows = sampled_texts(docs, sample_labels(labels, label, fit_rows, FOLDS, FOLD), text, key)
 
     def extract(batches):
         for batch in batches:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from hypeline.llm import tokens
 from hypeline.llm.common import bounded_batches, field, map_rows
-from hypeline.llm.labelled import holdout, sample_labels
+from hypeline.llm.labelled import holdout, sample_labels, sampled_texts
 
 BITS = 18                    # of a filter before the exact look-up of a feature
 FIT_ROWS = 8000
@@ -160,8 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, text: st
           key: str = "doc_id", label: str = "toxic") -> Model:
     """Fit on a bounded sample of labelled rows; only their feature numbers reach the driver."""
     bounded_batches(docs.sparkSession)
-    chosen = F.broadcast(sample_labels(labels, label, fit_rows, FOLDS, FOLD))
-    rows = docs.select(field(key).alias("doc_id"), field(text).alias("t")).join(chosen, "doc_id")
+    rows = sampled_texts(docs, sample_labels(labels, label, fit_rows, FOLDS, FOLD), text, key)
 
     def extract(batches):
         for batch in batches:

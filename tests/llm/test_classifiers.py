@@ -147,3 +147,14 @@ def test_toxicity_awkward_rows(spark):
     assert toxicity.score(nothing(spark), model).count() == 0
     one_class = read(spark, "labels").where("toxic = 0")
     assert {r.severity for r in toxicity.score(awkward(spark), toxicity.train(read(spark, "documents"), one_class)).collect()} == {0.0}
+
+
+def test_a_repeated_id_is_one_sampled_row(spark):
+    from hypeline.llm import labelled
+    rows = [(1, f"copy {i}", "a") for i in range(300)] + [(2, "other text", "b"), (3, None, "c"), (None, "no id", "d"), (9, "unlabelled", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    chosen = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")
+    got = [sorted(map(tuple, labelled.sampled_texts(d, chosen, "text", "doc_id").collect()))
+           for d in (docs, docs.orderBy(F.desc("text")).repartition(7))]
+    assert got[0] == got[1] and [(r[0], r[2]) for r in got[0]] == [(1, 1), (2, 0), (3, 0)]
+    assert got[0][1:] == [(2, "other text", 0), (3, None, 0)]

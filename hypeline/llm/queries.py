@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 import corpus_pipeline
-from hypeline.llm import (chunks, decontamination, jaccard_join, langid, mixing, quality, rules, sharding, toxicity,
-                          warc)
+from hypeline.llm import (alignment, byte_bpe, chunks, decontamination, jaccard_join, langid, mixing, quality, rules,
+                          sharding, toxicity, warc)
 from hypeline.llm.common import table
 
 
@@ -64,10 +66,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str, first: str = public_tokenizers.path("byte_bpe_50k.json"),
+                   second: str = public_tokenizers.path("piece_bpe_32k.model")) -> DataFrame:
+    """Tokens of two tokenizers aligned over every document."""
+    aligner = alignment.Aligner(alignment.byte_level(first), alignment.Pieces.from_file(second))
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), aligner)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str,
+                  ranks: str = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe.Codec.from_ranks(ranks))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_language, op3_toxicity, op4_quality, op5_jaccard, op6_rules,
-                                   op7_sharding, op8_substrings, op9_warc, op10_decontamination, pipeline)}
+                                   op7_sharding, op8_substrings, op9_warc, op10_decontamination, op11_alignment, op12_byte_bpe,
+                                   pipeline)}

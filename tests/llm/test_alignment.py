@@ -49,14 +49,14 @@ class Brute:
             return None
         ends = lambda ts: list(accumulate(map(len, ts)))
         ea, eb = ends(ta), ends(tb)
-        out, i, j = [], 0, 0
+        out, ids, i, j = [], a.ids, 0, 0
         for cut in sorted(set(ea) & set(eb)):
             x, y = i, j
             while i < len(ea) and ea[i] <= cut:
                 i += 1
             while j < len(eb) and eb[j] <= cut:
                 j += 1
-            out.append((a.ids[x:i], b[y:j]))
+            out.append((ids[x:i], b[y:j]))
         return out
 
 

@@ -44,9 +44,10 @@ from hypeline.llm.byte_bpe import Codec, SliceCache, Table, spread
 from hypeline.llm.common import bounded_batches, field, materialise
 from hypeline.llm.tokens import utf8
 
-LANE = 256                   # A tokens after which a document may go on in another lane
+LANE = 128                   # A tokens after which a document may go on in another lane
 PROBES = 16                  # A ends tried for such a split
 LARGE = 4096                 # links from which a group is counted by its different ids
+BATCH = 1 << 20              # bytes of text aligned at once: the state needs about 100 times as many
 HOT_PAIRS = 1_000_000        # id pairs (16 bytes and a row each) that may be broadcast
 SPACE_MARK = "▁"
 
@@ -300,7 +301,7 @@ COLUMNS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups
 def aligned(docs: DataFrame, aligner: Aligner, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row its numbers of tokens, groups and links, the digest of its groups, and
     its different linked id pairs with their numbers of links."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH)
     shared = docs.sparkSession.sparkContext.broadcast(aligner)
 
     def run(batches):

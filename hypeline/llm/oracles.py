@@ -1,7 +1,7 @@
 """DuckDB SQL for the operators' queries that SQL can express.
 
 The others are learned (op2-op4), need a hash DuckDB lacks (op7: crc32; op8: a
-rolling hash) or a verified alignment (op10); tests compare them with
+rolling hash), a verified alignment (op10) or a tokenizer (op11, op12); tests compare them with
 brute-force versions, and the pipeline stage by stage.
 """
 
@@ -127,5 +127,29 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
 FROM f
 """
 
+# Brute force over all pairs of an anchor and a row.
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)
+),
+scores AS (
+  SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0
+),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN scores USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 import corpus_pipeline
-from hypeline.llm import (alignment, byte_bpe, chunks, decontamination, jaccard_join, langid, mixing, quality, rules,
-                          sharding, toxicity, warc)
+from hypeline.llm import (alignment, byte_bpe, chunks, decontamination, hard_negatives, jaccard_join, langid, mixing,
+                          quality, rules, sharding, toxicity, warc)
 from hypeline.llm.common import table
 
 
@@ -79,6 +79,11 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str,
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe.Codec.from_ranks(ranks))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, per positive."""
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -86,4 +91,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_language, op3_toxicity, op4_quality, op5_jaccard, op6_rules,
                                    op7_sharding, op8_substrings, op9_warc, op10_decontamination, op11_alignment, op12_byte_bpe,
-                                   pipeline)}
+                                   op13_hard_negatives, pipeline)}

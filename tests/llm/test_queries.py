@@ -26,7 +26,7 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES if q != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES if q != "pipeline"}
     assert set(QUERIES) <= set(E.queries())
 
 

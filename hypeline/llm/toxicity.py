@@ -32,8 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hypeline.llm import tokens
-from hypeline.llm.common import bounded_batches, field, map_rows
+from hypeline.llm.common import bounded_batches, field, map_rows, materialise
 from hypeline.llm.labelled import holdout, sample_labels, sampled_texts
+from hypeline.operators.joins import broadcast_if_small
 
 BITS = 18                    # of a filter before the exact look-up of a feature
 FIT_ROWS = 8000
@@ -95,22 +96,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def markers(toxic: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Whether a feature (a number from 0) marks the toxic class: its share of
-    toxic rows, lowered by two standard errors, is at least ``MARKER_ODDS``
-    times its share of clean rows."""
-    size = int(ids.max(initial=-1)) + 1
-    in_toxic = np.bincount(ids[toxic[rows] == 1], minlength=size)
-    in_clean = np.bincount(ids[toxic[rows] == 0], minlength=size)
-    sure = np.maximum(in_toxic - 2 * np.sqrt(in_toxic), 0) / (toxic.sum() + 1)
-    return sure > MARKER_ODDS * (in_clean + 0.5) / ((1 - toxic).sum() + 1)
+def markers(found: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """The features that mark the toxic class: their share of toxic rows, lowered by
+    two standard errors, is at least ``MARKER_ODDS`` times their share of clean
+    rows.  ``found`` has one row per sampled text: toxic and its different
+    features; they are counted where they are."""
+    n = F.col("toxic_rows")
+    sure = F.greatest(n - 2 * F.sqrt(n), F.lit(0.0)) / (toxic + 1)
+    return (found.select("toxic", F.explode("ids").alias("feature")).groupBy("feature")
+            .agg(F.sum("toxic").alias("toxic_rows"), F.sum(1 - F.col("toxic")).alias("clean_rows"))
+            .where(sure > MARKER_ODDS * (F.col("clean_rows") + 0.5) / (clean + 1)).select("feature"))
 
 
-def grades(toxic: np.ndarray, rows: np.ndarray, ids: np.ndarray, marker: np.ndarray) -> np.ndarray:
+def grades(toxic: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Severity grades of the training rows: 0 for clean ones, else 1..GRADES by
-    the number of different markers in it."""
-    n = len(toxic)
-    found = np.bincount(rows, marker[ids], minlength=n)
+    the number of different markers found in it."""
     cuts = np.quantile(found[toxic == 1], np.arange(1, GRADES) / GRADES)
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, found, side="right"), 0)
 
@@ -145,38 +145,39 @@ def fit_ordinal(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, size: int, ste
 
 
 def fit(rows: np.ndarray, ids: np.ndarray, toxic: np.ndarray) -> Model:
-    """Model from distinct (row, feature) pairs and the rows' labels."""
-    if len(toxic) == 0 or toxic.min() == toxic.max():
-        return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES, np.inf))
+    """Model from distinct (row, marker) pairs and the rows' labels, of which both occur."""
     keys, ids = np.unique(ids, return_inverse=True)
-    marker = markers(toxic, rows, ids)
-    y, used = grades(toxic, rows, ids, marker), marker[ids]
-    place = np.cumsum(marker) - 1
-    weights, theta = fit_ordinal(rows[used], place[ids[used]], y, int(marker.sum()))
-    return Model(keys[marker], weights, theta)
+    y = grades(toxic, np.bincount(rows, minlength=len(toxic)))
+    weights, theta = fit_ordinal(rows, ids, y, len(keys))
+    return Model(keys, weights, theta)
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, text: str = "text",
           key: str = "doc_id", label: str = "toxic") -> Model:
-    """Fit on a bounded sample of labelled rows; only their feature numbers reach the driver."""
+    """Fit on a bounded sample of labelled rows.  Features are counted in Spark; only the
+    sampled rows' labels and the markers found in them reach the driver."""
     bounded_batches(docs.sparkSession)
     rows = sampled_texts(docs, sample_labels(labels, label, fit_rows, FOLDS, FOLD), text, key)
 
     def extract(batches):
         for batch in batches:
             row, ids = _distinct(*features(batch.column(1)))
-            cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            first = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            toxic = np.asarray(batch.column(2)) > 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2),
-                 pa.array([ids[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
-                names=["doc_id", "label", "ids"])
-
-    got = rows.mapInArrow(extract, "doc_id long, label int, ids binary").toArrow()
-    found = sorted(set(zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), got["ids"].to_pylist())))
-    toxic = np.array([int(x[1] > 0) for x in found], np.int64)
-    parts = [np.frombuffer(x[2], np.uint64) for x in found]
-    rows = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    return fit(rows, np.concatenate(parts) if parts else np.zeros(0, np.uint64), toxic)
+                [batch.column(0), pa.array(toxic.astype(np.int32)),
+                 pa.ListArray.from_arrays(pa.array(first), pa.array(ids.view(np.int64)))], names=["doc_id", "toxic", "ids"])
+
+    found = materialise(rows.mapInArrow(extract, "doc_id long, toxic int, ids array<long>"), "features")
+    sampled = found.select("doc_id", "toxic").toArrow().sort_by("doc_id")
+    doc, toxic = (np.asarray(sampled[c].combine_chunks()) for c in ("doc_id", "toxic"))
+    if len(toxic) == 0 or toxic.min() == toxic.max():
+        return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES, np.inf))
+    marks = broadcast_if_small(materialise(markers(found, int(toxic.sum()), int((1 - toxic).sum())), "markers"))
+    met = (found.select("doc_id", F.explode("ids").alias("feature")).join(marks, "feature")
+           .toArrow().sort_by([("doc_id", "ascending"), ("feature", "ascending")]))
+    owner, ids = (np.asarray(met[c].combine_chunks()) for c in ("doc_id", "feature"))
+    return fit(np.searchsorted(doc, owner), ids.view(np.uint64), toxic)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:

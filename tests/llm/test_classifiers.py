@@ -1,13 +1,15 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from hypeline.llm import langid, quality, toxicity
+from hypeline.llm import langid, quality, tokens, toxicity
 
-from .cases import DOCS, awkward, nothing
+from .cases import DOCS, awkward, nothing, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -122,6 +124,34 @@ def test_toxicity_of_held_out_documents(spark):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in rows if not r.toxic}
 
 
+def test_severity_against_brute_force(spark):
+    """Markers counted word by word, and the expected severity of every document in plain Python."""
+    docs, labels = read(spark, "documents"), read(spark, "labels")
+    model = toxicity.train(docs, labels)
+    truth = {r.doc_id: int(r.toxic > 0) for r in labels.collect() if r.toxic is not None and not held(r.doc_id, 5, 0)}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+
+    def plain(text):
+        ws = {"".join(c.lower() if "A" <= c <= "Z" else c for c in w).encode() for w in words(text)}
+        return {(0, w) for w in ws} | {(n, w[:n]) for n in toxicity.PREFIXES for w in ws}
+
+    counts = {0: Counter(), 1: Counter()}
+    for i, t in truth.items():
+        if i in texts:
+            counts[t].update(plain(texts[i]))
+    total = Counter(t for i, t in truth.items() if i in texts)
+    marks = [f for f, n in counts[1].items() if max(n - 2 * n ** 0.5, 0) / (total[1] + 1)
+             > toxicity.MARKER_ODDS * (counts[0][f] + 0.5) / (total[0] + 1)]
+    number = {(n, w): int(tokens.word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) + (n << 8)
+              for n, w in marks}
+    assert set(number.values()) == set(model.keys.tolist()) and marks
+    weight = dict(zip(model.keys.tolist(), model.weights.tolist()))
+    for r in toxicity.score(docs, model).collect():
+        eta = sum(weight[number[f]] for f in plain(texts[r.doc_id]) if f in number)
+        severity = sum(1 / (1 + math.exp(t - eta)) for t in model.theta)
+        assert r.severity == pytest.approx(severity) and r.toxic == int(severity - model.base >= toxicity.REJECT)
+
+
 def test_ordinal_fit_orders_grades():
     rng = np.random.default_rng(1)
     y = rng.integers(0, 4, 600)

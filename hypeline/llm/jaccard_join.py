@@ -105,24 +105,28 @@ def set_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
             .mapInArrow(run, ", ".join(f"{n} long" for n in names)))
 
 
-def _sampled(c: Column) -> Column:
-    return F.pmod(F.xxhash64(c), F.lit(SAMPLE)) == 0
+def _sampled() -> Column:
+    return F.pmod(F.col(ROW_ID[0]), F.lit(SAMPLE)) == 0
 
 
-def frequent_shingles(docs: DataFrame, classes: DataFrame, text: str, key: str) -> np.ndarray:
+def frequent_shingles(docs: DataFrame, classes: DataFrame, text: str) -> np.ndarray:
     """Hashes of frequent shingles, counted over one in ``SAMPLE`` distinct sets.
     If there are too many, the count asked for is raised until they fit."""
-    reps = classes.where(_sampled(F.col("doc_id"))).select("doc_id", F.col("node").alias("want"))
-    rows = (docs.select(field(key).cast("long").alias("doc_id"), field(text).alias("t"))
-            .where(_sampled(F.col("doc_id"))).join(reps, "doc_id").select("t", "want"))
+    reps = classes.where(_sampled()).select(*ROW_ID, F.col("node").alias("want"))
+    rows = docs.select(*row_fingerprint(docs), field(text).alias("t")).where(_sampled()).join(reps, list(ROW_ID)).select("t", "want")
 
     def run(batches):
+        seen = set()                 # a repeated row counts once in a task
         for batch in batches:
             want = batch.column(1).to_pylist()
-            sets = [s for s, w in zip(tokens.row_shingle_sets(batch.column(0)), want) if len(s) and _digest(s) == w]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64))], names=["h"])
-
+            sets = []
+            for s, w in zip(tokens.row_shingle_sets(batch.column(0)), want):
+                if w not in seen:
+                    seen.add(w)
+                    sets.append(s.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))], names=["h"])
+
+    # A row repeated in several tasks counts once for each of them; the order of shingles may be any.
     counts = materialise(rows.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= FREQUENT), "frequent")
     least = FREQUENT
     # One row per power of two: a bounded histogram decides.
@@ -167,20 +171,22 @@ def prefix_rows(docs: DataFrame, frequent: np.ndarray, text: str) -> DataFrame:
 class Sets:
     """Fetches whole sets of nodes, from the text of one document per node, and compares them."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, text: str, key: str) -> None:
-        self.docs = docs.select(field(key).cast("long").alias("doc_id"), field(text).alias("t"))
+    def __init__(self, docs: DataFrame, classes: DataFrame, text: str) -> None:
+        self.docs = docs.select(*row_fingerprint(docs), field(text).alias("t"))
         self.classes = classes
 
     def of(self, nodes: DataFrame) -> DataFrame:
-        wanted = materialise(self.classes.join(nodes, "node").select("doc_id", F.col("node").alias("want")), "wanted")
+        wanted = materialise(self.classes.join(nodes, "node").select(*ROW_ID, F.col("node").alias("want")), "wanted")
         side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-        rows = self.docs.join(side, self.docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("t", "want")
+        rows = self.docs.join(side, list(ROW_ID)).select("t", "want")
 
         def run(batches):
+            seen = set()                 # a repeated row gives its set once in a task
             for batch in batches:
                 want, sets, found = batch.column(1).to_pylist(), [], []
                 for s, w in zip(tokens.row_shingle_sets(batch.column(0)), want):
-                    if len(s) and _digest(s) == w:      # another text under the same id is not it
+                    if w not in seen:
+                        seen.add(w)
                         sets.append(s)
                         found.append(w)
                 off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
@@ -189,7 +195,7 @@ class Sets:
                     [pa.array(found, pa.int64()), pa.ListArray.from_arrays(pa.array(off), pa.array(flat))],
                     names=["node", "s"])
 
-        return materialise(rows.mapInArrow(run, "node long, s array<long>"), "sets")
+        return materialise(rows.mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"]), "sets")
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, i, u): sizes of intersection and union of the pairs' sets.  A set
@@ -250,21 +256,24 @@ def _small_region_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _large_region_pairs(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Pairs of frequent regions.  ``hot`` lists the frequent regions of a node, so
-    a pair is made only in the first region it shares, and only if the regions
-    it shares (``rest`` bounds those of rarer shingles) can reach the threshold."""
+    """Pairs of frequent regions that share no rarer shingle: pairs that do meet in
+    the region of that shingle, and are made there.
+
+    All rarer shingles of a node with a frequent one in its prefix are in the
+    prefix (``rare`` of them), and a pair of this kind shares none of them.
+    Nor does it share the frequent ones that only one of them has: all of a
+    node's are known (``hot``) up to its last in the prefix.  Both bound the
+    intersection, and a pair is made only in the first region it shares."""
     need, common = _needed(F.col("n_a"), F.col("n_b")), F.array_intersect("hot_a", "hot_b")
-    most = F.size(common) + F.least("rest_a", "rest_b") + F.greatest(_beyond(F.col("n_a")), _beyond(F.col("n_b")))
-    # All rarer shingles of such a node are in its prefix, so those it shares with
-    # nobody (``alone``) are known, and so are all its frequent ones up to its last
-    # in the prefix.  Both kinds of difference bound the intersection.
+    most = F.size(common) + F.greatest(_beyond(F.col("n_a")), _beyond(F.col("n_b")))
     last = F.least(F.array_max("hot_a"), F.array_max("hot_b"))
     upto = lambda c: F.size(F.filter(c, lambda x: x <= last))
-    apart = F.col("alone_a") + F.col("alone_b") + upto(F.col("hot_a")) + upto(F.col("hot_b")) - 2 * F.size(common)
+    lost = F.col("rare_a") + F.col("rare_b")
+    apart = lost + upto(F.col("hot_a")) + upto(F.col("hot_b")) - 2 * F.size(common)
     enough = lambda lost: F.col("n_a") + F.col("n_b") - lost >= 2 * need
-    more = (enough(F.col("alone_a") + F.col("alone_b")) & (F.col("h_a") == F.array_min(common)) & (most >= need)
-            & enough(apart))
-    return (_pairs(rows.drop("alone").join(prefixes, "node"), "region", ["h", "hot", "rest", "alone"], more)
+    # The sum of ``rare`` costs least and drops most pairs of a group of near copies.
+    more = enough(lost) & (F.col("h_a") == F.array_min(common)) & (most >= need) & enough(apart)
+    return (_pairs(rows.drop("rare").join(prefixes, "node"), "region", ["h", "hot", "rare"], more)
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 
@@ -273,8 +282,8 @@ def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFram
     the comparisons and the members of the Voronoi regions with their windows.
     Voronoi regions that keep nine tenths of their parent do not separate it:
     their members stay in the parent, marked ``stuck``."""
-    # Pivots are the members with the fewest shingles of their own: the middle of a group of copies.
-    pick = Window.partitionBy("region").orderBy("alone", F.xxhash64("node", F.lit(depth)), "node")
+    # Pivots are the members with the fewest rarer shingles: the middle of a group of copies.
+    pick = Window.partitionBy("region").orderBy("rare", F.xxhash64("node", F.lit(depth)), "node")
     pivots = (rows.withColumn("r", F.row_number().over(pick)).where(F.col("r") <= PIVOTS)
               .select("region", F.col("node").alias("pivot")))
     met = materialise(rows.join(pivots, "region"), "members")
@@ -285,11 +294,11 @@ def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFram
     near = met.join(far, ["node", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
     home = F.min("d").over(Window.partitionBy("region", "node"))
     window = materialise(near.withColumn("home", home).where(F.col("d") <= F.col("home") + 2 * RADIUS + 1e-9)
-                         .select("region", "pivot", "h", "node", "n", "alone", "cnt"), "windows")
+                         .select("region", "pivot", "h", "node", "n", "rare", "cnt"), "windows")
     size = (window.groupBy("region", "pivot").agg((F.count(F.lit(1)) > 0.9 * F.max("cnt")).alias("stuck")))
     region = F.when(F.col("stuck"), F.col("region")).otherwise(F.xxhash64("region", "pivot"))
     return compared, window.join(size, ["region", "pivot"]).select(
-        region.alias("region"), "h", "node", "n", "alone", "stuck").distinct()
+        region.alias("region"), "h", "node", "n", "rare", "stuck").distinct()
 
 
 def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -297,10 +306,12 @@ def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     (the component; null if the set is empty) and component_id."""
     bounded_batches(docs.sparkSession)
     members = materialise(set_rows(docs, text, key), "sets-of-docs")
-    classes = materialise(members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"),
-                                                                     F.max("n").alias("n")), "classes")
-    frequent = frequent_shingles(docs, classes, text, key)
-    sets = Sets(docs, classes, text, key)
+    # Each different set is fetched again from one row that has it, found by the row's fingerprint.
+    classes = materialise(members.where("n > 0").groupBy("node").agg(
+        F.min(F.struct(*ROW_ID)).alias("r"), F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+        .select("node", *[F.col("r")[c].alias(c) for c in ROW_ID], "doc_id", "n"), "classes")
+    frequent = frequent_shingles(docs, classes, text)
+    sets = Sets(docs, classes, text)
 
     # First level.  Rows of frequent shingles are spread; the others' regions are small.
     spread = F.when(F.col("hot"), F.pmod("node", F.lit(64))).otherwise(0)
@@ -334,13 +345,11 @@ def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     candidates = [_small_region_pairs(materialise(open_, "open-regions"))]
 
     # And in those of frequent shingles, recursively.
-    prefixes = large.groupBy("node").agg(F.collect_list("h").alias("hot"))
-    rest = small.join(prefixes.select("node"), "node", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("rest"))
-    prefixes = materialise(prefixes.join(rest, "node", "left").withColumn("rest", F.coalesce("rest", F.lit(0))), "prefixes")
-    alone = F.col("n") - _beyond(F.col("n")) - F.size("hot") - F.col("rest")
-    rows = materialise(large.drop("hot").join(prefixes, "node").select(F.col("h").alias("region"), "h", "node", "n",
-                                                           alone.alias("alone"), F.lit(False).alias("stuck")), "frequent-rows")
-    prefixes = prefixes.join(rows.select("node", "alone").distinct(), "node")
+    # A prefix has n - _beyond(n) shingles; those not frequent are rarer.
+    hot = large.groupBy("node").agg(F.collect_list("h").alias("hot"), F.first("n").alias("n"))
+    prefixes = materialise(hot.select("node", "hot", (F.col("n") - _beyond(F.col("n")) - F.size("hot")).alias("rare")), "prefixes")
+    rows = materialise(large.drop("hot").join(prefixes, "node").select(F.col("h").alias("region"), "h", "node", "n", "rare",
+                                                                       F.lit(False).alias("stuck")), "frequent-rows")
     for depth in range(DEPTH):
         rows = materialise(_mixed(_labelled(rows, labels), "region"), "large-regions")
         done = F.lit(True) if depth == DEPTH - 1 else F.col("stuck") | (F.col("cnt") <= REGION)

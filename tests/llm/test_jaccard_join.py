@@ -61,6 +61,24 @@ def test_groups_of_near_copies_around_the_threshold(spark, monkeypatch, frequent
     assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_null_and_repeated_ids_fetch_one_text_per_set(spark, monkeypatch):
+    """Rows are fetched by their fingerprint: ids that many rows share multiply nothing."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    rows = []
+    for i in range(400):
+        w = [word() for _ in range(40)]
+        for k in range(2):
+            w[rng.randrange(40)] = word()
+            rows.append((None if i % 2 else 7, " ".join(w)))
+    rows += [(7, rows[0][1])] * 300                                    # one row repeated
+    sizes = []
+    of = jaccard_join.Sets.of
+    monkeypatch.setattr(jaccard_join.Sets, "of", lambda self, nodes: (sizes.append((nodes.count(), (out := of(self, nodes)).count())), out)[1])
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)) == brute(rows)
+    assert sizes and all(a == b for a, b in sizes)
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     assert joined(docs) == brute([d[:2] for d in DOCS])

@@ -63,7 +63,8 @@ FREQUENT_MAX = 1 << 17
 REGION = 256                 # regions up to this size are finished by their pairs
 PIVOTS = 8
 DEPTH = 4
-BROADCAST_IDS = 1_000_000    # ids (16 bytes each) that may be broadcast
+BATCH = 1 << 20              # bytes of text that a task hashes at once
+BROADCAST_IDS = 1_000_000    # ids (24 bytes each) that may be broadcast
 
 
 def _signed(s: np.ndarray) -> np.ndarray:
@@ -304,7 +305,7 @@ def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFram
 def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, row hashes, n (size of its set), root
     (the component; null if the set is empty) and component_id."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH)
     members = materialise(set_rows(docs, text, key), "sets-of-docs")
     # Each different set is fetched again from one row that has it, found by the row's fingerprint.
     classes = materialise(members.where("n > 0").groupBy("node").agg(

@@ -19,7 +19,11 @@ different labels; those that share too few regions to reach the threshold are
 dropped by an exact count, the others are verified on their whole sets.
 
 **Frequent shingles.**  A region of a frequent shingle can be large.  It holds
-documents made of frequent shingles only (large groups of near copies).  It is
+documents made of frequent shingles mainly (large groups of near copies).
+All rarer shingles of such a document are in its prefix, so a pair that shares
+one of them has met in its region already; what is left are pairs that share
+frequent shingles only, and a document with too few of those drops out of the
+region before any pair is made.  The region is
 split recursively by ``PIVOTS`` document pivots: each member goes to the
 Voronoi region of its nearest pivot, and also to that of every pivot whose
 distance is within twice the radius of the nearest one (triangle inequality:
@@ -272,12 +276,22 @@ def _large_region_pairs(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
     lost = F.col("rare_a") + F.col("rare_b")
     apart = lost + upto(F.col("hot_a")) + upto(F.col("hot_b")) - 2 * F.size(common)
     enough = lambda lost: F.col("n_a") + F.col("n_b") - lost >= 2 * need
-    # The sum of ``rare`` costs least and drops most pairs of a group of near copies.
-    more = enough(lost) & (F.col("h_a") == F.array_min(common)) & (most >= need) & enough(apart)
+    # What is not rare of either bounds the intersection, too; numbers cost least and drop most pairs of near copies.
+    frequent = F.least(F.col("n_a") - F.col("rare_a"), F.col("n_b") - F.col("rare_b"))
+    more = (frequent >= need) & enough(lost) & (F.col("h_a") == F.array_min(common)) & (most >= need) & enough(apart)
     return (_pairs(rows.drop("rare").join(prefixes, "node"), "region", ["h", "hot", "rare"], more)
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 
+def _able(rows: DataFrame) -> DataFrame:
+    """Members with enough frequent shingles to link in their region with any
+    member of the smallest size there that fits: the others are the fringe of
+    a group of near copies, and can link through rarer shingles only."""
+    low = rows.groupBy("region").agg(F.min("n").alias("low"))
+    least = F.greatest(F.col("low"), F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - 1e-9))
+    return (rows.join(low, "region").where(F.col("n") - F.col("rare") >= _needed(F.col("n"), least)).drop("low"))
+
+
 def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFrame]:
     """Compare the members of large regions with the regions' pivots.  Returns
     the comparisons and the members of the Voronoi regions with their windows.
@@ -352,7 +366,7 @@ def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     rows = materialise(large.drop("hot").join(prefixes, "node").select(F.col("h").alias("region"), "h", "node", "n", "rare",
                                                                        F.lit(False).alias("stuck")), "frequent-rows")
     for depth in range(DEPTH):
-        rows = materialise(_mixed(_labelled(rows, labels), "region"), "large-regions")
+        rows = materialise(_mixed(_able(_labelled(rows, labels)), "region"), "large-regions")
         done = F.lit(True) if depth == DEPTH - 1 else F.col("stuck") | (F.col("cnt") <= REGION)
         candidates.append(_large_region_pairs(rows.where(done), prefixes))
         rows = rows.where(~done)

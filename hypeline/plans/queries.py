@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from hypeline.functions import labels, parse, text
 from hypeline.operators import (
-    attribute_to_interval,
+    attribute_as_of,
     broadcast_if_small,
     conform,
     latest_snapshot,
@@ -87,7 +87,7 @@ def q_interval_attribution(spark: SparkSession, d: str) -> DataFrame:
                   F.col("ts").alias("start_ts")),
         "p_user_id", "start_ts", out="end_ts", tie_break=["purchase_id"])
     other = ev.where(F.col("event_type") != "purchase").select("event_id", "user_id", "ts", "event_type")
-    hit = attribute_to_interval(other, iv, [("user_id", "p_user_id")], "ts", "start_ts", "end_ts")
+    hit = attribute_as_of(other, iv, [("user_id", "p_user_id")], "ts", "start_ts", "end_ts")
     return hit.select("event_id", "user_id", "ts", "event_type", "purchase_id", "start_ts", "end_ts")
 
 

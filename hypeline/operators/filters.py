@@ -20,14 +20,21 @@ def _as_date(v) -> Column:
     return _lit(v)
 
 
-def since(df: DataFrame, column: str, run_dt, lookback_days: int = 0) -> DataFrame:
+def since(df: DataFrame, column: str, run_dt, lookback_days: int = 0, day: str | None = None) -> DataFrame:
     """``CAST(column AS DATE) >= run_dt - lookback_days``.
 
     Under ANSI a malformed date string raises instead of silently dropping.
+
+    ``day`` names a partition column that holds the same date, or NULL where
+    ``column`` is no date (or the table has no partitions): the scan then reads
+    the partitions from the bound on and the NULL one, whose rows are cast
+    as strictly as before.
     """
     bound = _as_date(run_dt)
     if lookback_days:
         bound = F.date_sub(bound, lookback_days)
+    if day is not None:
+        df = df.where(F.col(day).isNull() | (F.col(day) >= bound))
     return df.where(F.col(column).cast("date") >= bound)
 
 

@@ -27,12 +27,12 @@ from hypeline.operators import (
 )
 from hypeline.plans import adapters, models
 from hypeline.plans.adapters import table
+from hypeline.plans.ingest import load_raw
 from hypeline.plans.pipeline import run
 from hypeline.session import scratch_path
 from hypeline.sinks import append, insert_overwrite, materialize_table, merge_upsert, overwrite, read_table
-from hypeline.sources.landing import land_game_logs, land_posts, to_contract, union_batches
+from hypeline.sources.landing import land_game_logs, land_posts, union_batches
 from hypeline.sources.schedule import flatten_schedule, has_key
-from hypeline.sources.schemas import RAW_GAME_LOGS, RAW_PLAYER_LIST, RAW_POSTS, RAW_SCHEDULE
 from hypeline.streaming import is_folder, land_stream
 
 RUN_DT = _dt.date(2024, 1, 15)
@@ -537,10 +537,9 @@ RUN_DAYS = [_dt.date(2024, 1, 12), _dt.date(2024, 1, 13), _dt.date(2024, 1, 14),
 
 def land_static_fixture(spark: SparkSession, d: str, root: str) -> None:
     """Raw game logs, schedule and roster under ``root`` (loaded once)."""
-    raw = f"{root}/raw"
-    append(to_contract(adapters.raw_game_logs(spark, d), RAW_GAME_LOGS), f"{raw}/nba_game_logs")
-    append(to_contract(adapters.raw_schedule(spark, d), RAW_SCHEDULE), f"{raw}/nba_schedule")
-    overwrite(to_contract(raw_player_list(spark, d), RAW_PLAYER_LIST), f"{raw}/nba_player_list")
+    load_raw(adapters.raw_game_logs(spark, d), root, "nba_game_logs")
+    load_raw(adapters.raw_schedule(spark, d), root, "nba_schedule")
+    load_raw(raw_player_list(spark, d), root, "nba_player_list", "overwrite")
 
 
 def land_post_load(spark: SparkSession, d: str, root: str, k: int, load_ts: _dt.datetime | None = None) -> None:
@@ -555,7 +554,7 @@ def land_post_load(spark: SparkSession, d: str, root: str, k: int, load_ts: _dt.
     batch = (batch.withColumn("score", F.col("score") + F.lit(10 * k))
                   .withColumn("num_comments", F.col("num_comments") + F.lit(k))
                   .withColumn("_loaded_at_utc", F.lit(load_ts)))
-    append(to_contract(batch, RAW_POSTS), f"{root}/raw/reddit_nba_posts")
+    load_raw(batch, root, "reddit_nba_posts")
 
 
 def q_incremental_runs(spark: SparkSession, d: str) -> DataFrame:

@@ -28,8 +28,9 @@ split recursively by ``PIVOTS`` document pivots: each member goes to the
 Voronoi region of its nearest pivot, and also to that of every pivot whose
 distance is within twice the radius of the nearest one (triangle inequality:
 no partner can be at home further away).  Regions whose members all carry one
-label end; small regions, and regions that no longer shrink, are finished by
-verifying their pairs with different labels.
+label end; regions with few pairs of different labels, and regions that no
+longer shrink, are finished by verifying those pairs.  A member of the main
+label of a region is never paired with another one.
 
 The order of shingles decides cost only: any order gives the same links.  The
 list of frequent shingles is counted over a fixed share of the distinct sets
@@ -64,8 +65,9 @@ RADIUS = 1 - NUM / DEN
 SAMPLE = 16                  # one in so many distinct sets is counted for the order
 FREQUENT = 4                 # frequent: in so many sampled sets
 FREQUENT_MAX = 1 << 17
-REGION = 256                 # regions up to this size are finished by their pairs
+REGION = 256                 # regions with at most the square of it to compare are finished by their pairs
 PIVOTS = 8
+COMPARED = 1 << 20           # the same once members have met the region's pivots
 DEPTH = 4
 BATCH = 1 << 20              # bytes of text that a task hashes at once
 BROADCAST_IDS = 1_000_000    # ids (24 bytes each) that may be broadcast
@@ -183,7 +185,10 @@ class Sets:
     def of(self, nodes: DataFrame) -> DataFrame:
         wanted = materialise(self.classes.join(nodes, "node").select(*ROW_ID, F.col("node").alias("want")), "wanted")
         side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-        rows = self.docs.join(side, list(ROW_ID)).select("t", "want")
+        # One long as the key keeps a broadcast table small; the second hash is compared behind it.
+        a, b = ROW_ID
+        rows = (self.docs.join(side, (self.docs[a] == wanted[a]) & (self.docs[b].bitwiseXOR(wanted[b]) == 0))
+                .select("t", "want"))
 
         def run(batches):
             seen = set()                 # a repeated row gives its set once in a task
@@ -279,8 +284,27 @@ def _large_region_pairs(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
     # What is not rare of either bounds the intersection, too; numbers cost least and drop most pairs of near copies.
     frequent = F.least(F.col("n_a") - F.col("rare_a"), F.col("n_b") - F.col("rare_b"))
     more = (frequent >= need) & enough(lost) & (F.col("h_a") == F.array_min(common)) & (most >= need) & enough(apart)
-    return (_pairs(rows.drop("rare").join(prefixes, "node"), "region", ["h", "hot", "rare"], more)
-            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    rows = rows.drop("rare").join(prefixes, "node")
+    names = ["node", "n", "label", "own", "minor", "h", "hot", "rare"]
+    # Different labels: one of the two is not of the region's main label, and comes from the left.
+    left = rows.where("minor").select("region", *[F.col(c).alias(c + "_a") for c in names])
+    right = rows.select(F.col("region").alias("__by"), *[F.col(c).alias(c + "_b") for c in names])
+    first = F.col("node_a") < F.col("node_b")
+    once = (first | ~F.col("minor_b")) & F.when(first, F.col("own_a")).otherwise(F.col("own_b"))
+    fits = ((F.col("region") == F.col("__by")) & (F.col("label_a") != F.col("label_b")) & once
+            & (F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM))
+    return left.join(right, fits & more).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def _minorities(rows: DataFrame) -> DataFrame:
+    """Rows of the regions that hold more than one label, with the sizes of the region
+    (``cnt``) and of what is not of its most frequent label (``others``, ``minor``)."""
+    counts = rows.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"))
+    regions = (counts.groupBy("region").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("cnt"),
+                                            F.max("c").alias("most"))
+               .where("cnt > most").select("region", "main", "cnt", (F.col("cnt") - F.col("most")).alias("others")))
+    return (rows.drop("cnt", "others", "minor").join(regions, "region")
+            .withColumn("minor", F.col("label") != F.col("main")).drop("main"))
 
 
 def _able(rows: DataFrame) -> DataFrame:
@@ -292,28 +316,37 @@ def _able(rows: DataFrame) -> DataFrame:
     return (rows.join(low, "region").where(F.col("n") - F.col("rare") >= _needed(F.col("n"), least)).drop("low"))
 
 
-def _split(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFrame]:
-    """Compare the members of large regions with the regions' pivots.  Returns
-    the comparisons and the members of the Voronoi regions with their windows.
-    Voronoi regions that keep nine tenths of their parent do not separate it:
-    their members stay in the parent, marked ``stuck``."""
-    # Pivots are the members with the fewest rarer shingles: the middle of a group of copies.
+def _meet_pivots(rows: DataFrame, sets: Sets, depth: int) -> tuple[DataFrame, DataFrame]:
+    """(pivots of every region, comparisons of every node with the pivots of its
+    regions).  Pivots are the members with the fewest rarer shingles, the middle of
+    a group of copies; most regions of a group choose the same ones, and a node
+    is compared with each of them once."""
     pick = Window.partitionBy("region").orderBy("rare", F.xxhash64("node", F.lit(depth)), "node")
-    pivots = (rows.withColumn("r", F.row_number().over(pick)).where(F.col("r") <= PIVOTS)
-              .select("region", F.col("node").alias("pivot")))
-    met = materialise(rows.join(pivots, "region"), "members")
-    compared = sets.compare(met.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")),
-                            f"pivots-{depth}")
+    pivots = materialise(rows.withColumn("r", F.row_number().over(pick)).where(F.col("r") <= PIVOTS)
+                         .groupBy("region").agg(F.sort_array(F.collect_list("node")).alias("pivots")), "region-pivots")
+    near = rows.join(pivots, "region").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
+    pairs = near.select(F.col("node").alias("a"), F.explode("pivots").alias("b")).where("a != b")
+    return pivots, sets.compare(pairs, f"pivots-{depth}")
+
+
+def _split(rows: DataFrame, pivots: DataFrame, compared: DataFrame) -> DataFrame:
+    """The members of the pivots' Voronoi regions with their windows.  Voronoi
+    regions that keep nine tenths of their parent do not separate it: their
+    members stay in the parent, marked ``stuck``.  A node is at home (``own``)
+    with its nearest pivot; by the triangle inequality any partner is there
+    as well, so a pair is made there and in no other region."""
     far = compared.select(F.col("a").alias("node"), F.col("b").alias("pivot"),
                           (1 - F.col("i") / F.col("u")).alias("d"))
-    near = met.join(far, ["node", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
-    home = F.min("d").over(Window.partitionBy("region", "node"))
-    window = materialise(near.withColumn("home", home).where(F.col("d") <= F.col("home") + 2 * RADIUS + 1e-9)
-                         .select("region", "pivot", "h", "node", "n", "rare", "cnt"), "windows")
+    near = (rows.join(pivots, "region").withColumn("pivot", F.explode("pivots")).join(far, ["node", "pivot"], "left")
+            .withColumn("d", F.coalesce("d", F.lit(0.0))))
+    home = F.min(F.struct("d", "pivot")).over(Window.partitionBy("region", "node"))
+    window = materialise(near.withColumn("home", home).where(F.col("d") <= F.col("home.d") + 2 * RADIUS + 1e-9)
+                         .withColumn("own", F.col("own") & (F.col("pivot") == F.col("home.pivot")))
+                         .select("region", "pivot", "h", "node", "n", "rare", "cnt", "own"), "windows")
     size = (window.groupBy("region", "pivot").agg((F.count(F.lit(1)) > 0.9 * F.max("cnt")).alias("stuck")))
     region = F.when(F.col("stuck"), F.col("region")).otherwise(F.xxhash64("region", "pivot"))
-    return compared, window.join(size, ["region", "pivot"]).select(
-        region.alias("region"), "h", "node", "n", "rare", "stuck").distinct()
+    return (window.join(size, ["region", "pivot"]).withColumn("region", region)
+            .groupBy("region", "h", "node", "n", "rare", "stuck").agg(F.max("own").alias("own")))
 
 
 def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -364,17 +397,28 @@ def join_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     hot = large.groupBy("node").agg(F.collect_list("h").alias("hot"), F.first("n").alias("n"))
     prefixes = materialise(hot.select("node", "hot", (F.col("n") - _beyond(F.col("n")) - F.size("hot")).alias("rare")), "prefixes")
     rows = materialise(large.drop("hot").join(prefixes, "node").select(F.col("h").alias("region"), "h", "node", "n", "rare",
-                                                                       F.lit(False).alias("stuck")), "frequent-rows")
+                                                                       F.lit(False).alias("stuck"), F.lit(True).alias("own")),
+                       "frequent-rows")
     for depth in range(DEPTH):
-        rows = materialise(_mixed(_able(_labelled(rows, labels)), "region"), "large-regions")
-        done = F.lit(True) if depth == DEPTH - 1 else F.col("stuck") | (F.col("cnt") <= REGION)
+        rows = materialise(_minorities(_able(_labelled(rows, labels))), "large-regions")
+        # A pair has a member outside the main label: that many times the region's size are compared.
+        small = F.col("others") * F.col("cnt") <= REGION * REGION
+        done = F.lit(True) if depth == DEPTH - 1 else F.col("stuck") | small
         candidates.append(_large_region_pairs(rows.where(done), prefixes))
         rows = rows.where(~done)
         if rows.isEmpty():
             break
-        compared, rows = _split(rows, sets, depth)
+        pivots, compared = _meet_pivots(rows, sets, depth)
         found.append(_links(compared))
         labels = _labels(found[-1].unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+        # What the pivots have not connected: few enough to compare, or split further.
+        rows = materialise(_minorities(_labelled(rows, labels)), "large-regions")
+        small = F.col("others") * F.col("cnt") <= COMPARED
+        candidates.append(_large_region_pairs(rows.where(small), prefixes))
+        rows = rows.where(~small)
+        if rows.isEmpty():
+            break
+        rows = _split(rows, pivots, compared)
 
     found.append(_links(sets.compare(reduce(DataFrame.unionByName, candidates), "candidates")))
     known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))

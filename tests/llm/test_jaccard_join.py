@@ -45,6 +45,7 @@ def test_groups_of_near_copies_around_the_threshold(spark, monkeypatch, frequent
     """Every shingle frequent and regions split recursively, or no shingle frequent: same links."""
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard_join, "REGION", region)
+    monkeypatch.setattr(jaccard_join, "COMPARED", region)
     monkeypatch.setattr(jaccard_join, "SAMPLE", 2)
     monkeypatch.setattr(jaccard_join, "PIVOTS", 3)
     rng, rows = random.Random(7), []

@@ -24,13 +24,14 @@ def frame(spark, data, ddl):
 
 def test_stale_staging_is_dropped_by_a_later_write(spark, scratch, monkeypatch):
     path = scratch("t")
-    tables.materialize_table(frame(spark, [("a", 1), ("c", 7)], "k string, v int"), path)
+    ddl = "k string, v int, d string"
+    tables.materialize_table(frame(spark, [("a", 1, "x"), ("c", 7, "x")], ddl), path, ["d"])
     with monkeypatch.context() as m:
         m.setattr(tables, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
         with pytest.raises(RuntimeError):
-            tables.merge_upsert(spark, frame(spark, [("a", 5)], "k string, v int"), path, ["k"])
-    tables.materialize_table(frame(spark, [("a", 1), ("b", 2), ("z", 3)], "k string, v int"), path)
-    tables.merge_upsert(spark, frame(spark, [("b", 9)], "k string, v int"), path, ["k"])
+            tables.merge_upsert(spark, frame(spark, [("a", 5, "x")], ddl), path, ["k"], "d")
+    tables.materialize_table(frame(spark, [("a", 1, "x"), ("b", 2, "x"), ("z", 3, "y")], ddl), path, ["d"])
+    tables.merge_upsert(spark, frame(spark, [("b", 9, "x")], ddl), path, ["k"], "d")
     assert rows(spark, path, "k", "v") == [("a", 1), ("b", 9), ("z", 3)]
 
 

@@ -14,7 +14,7 @@ from hypeline.llm.oracles import ORACLES
 from hypeline.llm.queries import QUERIES
 from hypeline.plans.compare import compare, duck
 
-from .cases import SF, words
+from .cases import SF, awkward, nothing, words
 from .test_jaccard_join import brute
 from .test_passages import brute as best_overlap
 
@@ -81,3 +81,22 @@ def test_run_chains_the_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "text", "lang", "source", "n_chars", "shard", "slot"} == set(out.columns)
     assert out.count() > 0
+
+
+def test_pipeline_stages_on_awkward_and_empty_tables(spark):
+    for docs in (awkward(spark), nothing(spark)):
+        kept = [docs]
+        for name, stage in corpus_pipeline.STAGES:
+            kept.append(materialise(stage(spark, kept[-1], SF), name))
+        assert all(df.columns == docs.columns for df in kept[1:-1])
+        ids = [Counter(r.doc_id for r in df.select("doc_id").collect()) for df in kept]
+        wordless = Counter([1, 2, 3, None]) if ids[0] else Counter()
+        for i in (1, 2, 3):                                # kept by the filtering stages
+            assert wordless <= ids[i] and ids[i] <= ids[i - 1]
+        assert set(ids[4]) <= set(ids[3])
+        assert sum(ids[5].values()) == sum(ids[4].values())
+        # Exact and repeated copies of one text: the smallest id stays.
+        if ids[0]:
+            assert ids[2][7] == 1 and ids[2][8] == 0
+        else:
+            assert not any(ids)

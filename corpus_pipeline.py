@@ -5,6 +5,15 @@ are mixed to their target weights, and the rest is dealt to shards.
 Every stage is a function (spark, docs, sf_dir) -> DataFrame; its result is
 written as Parquet and read again as the next stage's ``docs``.  All stages but
 the last return the columns of ``documents``.
+
+Defined cases, by stage: a null or empty text has no marker, no shingle and no
+benchmark passage, so the first three stages keep it; a null id is an id like
+any other, and rows are told apart by all their columns.  Rows that repeat as
+a whole are one document for the near-copy stage (one stays) unless they have
+no words, and as many as they are for the others.  Ties go to the smallest
+doc_id (null last), then to the row's fingerprint.  A text without words is
+mixed in at the rate of its source and adds no words.  An empty table passes through as an empty table
+with the same columns.
 """
 
 from __future__ import annotations

@@ -42,7 +42,7 @@ from hypeline.llm.common import ROW_ID, bounded_batches, field, map_rows, materi
 CUT_BITS = 4                 # a candidate every 16 bytes on average
 MIN_CHUNK = 24
 MAX_CHUNK = 160
-MIN_SPAN = 40                # about seven words: longer than chance repeats
+MIN_SPAN = 120               # about twenty words: longer than common phrases, and found in 0.97 of passages of 51 words
 _ROLL = 32                   # bytes the rolling hash sees
 
 _GEAR = (tokens.mix64(np.arange(1, 257, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)

@@ -1,6 +1,7 @@
 """Decontamination and substring deduplication."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -136,6 +137,42 @@ def test_spans_against_a_loop(spark):
     assert {(r.doc_id, r.start_byte, r.n_bytes) for r in chunks.repeated_spans(docs).collect()} == want
 
 
+def test_spans_against_word_windows(spark):
+    """Without the chunker: who holds a passage of 51 words of an earlier text, and who shares no 15 words with one."""
+    docs = sorted(read(spark, "documents").collect(), key=lambda d: d.doc_id)
+    texts = {d.doc_id: d.text or "" for d in docs}
+
+    def holders(size):
+        seen, out = set(), set()
+        for i, text in texts.items():
+            # Windows of raw bytes, so that white space counts as it does in a substring.
+            at = [m.span() for m in re.finditer(r"\S+", text)]
+            own = [text[at[k][0]:at[k + size - 1][1]] for k in range(len(at) - size + 1)]
+            if any(w in seen for w in own) or len(set(own)) < len(own):
+                out.add(i)
+            seen.update(own)
+        return out
+
+    spans = chunks.repeated_spans(read(spark, "documents")).collect()
+    found, passages, shared = {r.doc_id for r in spans}, holders(51), holders(15)
+    clean = set(texts) - shared
+    assert len(passages) >= 20 and len(clean) >= 50
+    assert len(found & passages) >= 0.95 * len(passages)
+    assert len(found & clean) <= 0.05 * len(clean)
+    # Every byte of a span lies in 24 bytes that an earlier text, or an earlier place, holds.
+    order = list(texts)
+    for r in spans:
+        raw = texts[r.doc_id].encode()
+        before = b"\xff".join(texts[i].encode() for i in order[:order.index(r.doc_id)])
+        stop, at = r.start_byte + r.n_bytes, r.start_byte
+        while at < stop:
+            a = min(at, stop - 24)
+            piece = raw[a:a + 24]
+            assert piece in before or raw.find(piece) < a or any(
+                raw[b:b + 24] in before or raw.find(raw[b:b + 24]) < b for b in range(max(r.start_byte, a - 23), a + 1)), (r, a)
+            at += 24
+
+
 def test_chunks_awkward_rows(spark):
     docs = awkward(spark)
     first = chunks.repeated_spans(docs, min_span=1).collect()

@@ -44,8 +44,8 @@ def test_interrupted_merge_is_finished(spark, scratch, monkeypatch, stop):
         if stop == "publish":
             m.setattr(tables, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
         else:
-            real = tables._delete
-            m.setattr(tables, "_delete", lambda s, p: real(s, p) if "/d=" not in p else (_ for _ in ()).throw(RuntimeError()))
+            real = tables.delete
+            m.setattr(tables, "delete", lambda s, p: real(s, p) if "/d=" not in p else (_ for _ in ()).throw(RuntimeError()))
         with pytest.raises(RuntimeError):
             tables.merge_upsert(spark, moved, path, ["k"], "d")
     tables.merge_upsert(spark, frame(spark, [("c", 3, "y")], ddl), path, ["k"], "d")
@@ -73,7 +73,7 @@ def test_moved_keys_leave_null_and_escaped_partitions(spark, scratch):
 
 def test_a_crashed_first_build_is_not_a_table(spark, scratch):
     path = scratch("t")
-    tables._touch(spark, f"{path}/_temporary/0/task")
+    tables.touch(spark, f"{path}/_temporary/0/task")
     assert tables.table_exists(spark, path) and not tables.table_built(spark, path)
     tables.insert_overwrite(frame(spark, [("a", "x")], "k string, d string"), path, "d")
     assert tables.table_built(spark, path)

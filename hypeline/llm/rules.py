@@ -109,11 +109,13 @@ def estimate(docs: DataFrame, text: str = "text", rules: dict[str, Rule] = RULES
     measured one by one on a sample of about ``sample_rows`` documents."""
     total = docs.count()
     share = min(1.0, sample_rows / total) if total else 1.0
-    sample = materialise(docs.sample(share, seed=1).select(field(text).alias("__text")).coalesce(8), "rule-sample")
+    # Dealt by a shuffle of the sample: a coalesce would make eight tasks of the scan of the whole table.
+    sample = materialise(docs.sample(share, seed=1).select(field(text).alias("__text")).repartition(8), "rule-sample")
     out = []
     for name, rule in rules.items():
         failed = F.coalesce(rule(measures(F.col("__text"))), F.lit(False))
         job = sample.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(failed, 1)).alias("bad"))
+        job.first()                            # generates and compiles the rule's code, which is not its cost
         started = time.perf_counter()
         row = job.first()
         out.append((name, (time.perf_counter() - started) / max(row["n"], 1), row["bad"] / max(row["n"], 1)))

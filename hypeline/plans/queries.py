@@ -20,6 +20,7 @@ from hypeline.operators import (
     broadcast_if_small,
     conform,
     latest_snapshot,
+    match_entities,
     roster,
     rolling_lookback,
     since,
@@ -70,6 +71,24 @@ def q_entity_mentions(spark: SparkSession, d: str) -> DataFrame:
                     "num_comments", "score", "post_type")
 
 
+# -- J3 beyond the broadcast bound -----------------------------------------------
+def passage_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names of one to five cleaned words: item i of ``benchmark`` gives
+    ``1 + i % 5`` words from word ``i % 7`` on."""
+    i = F.col("item_id")
+    words = text.tokenize(text.clean_title("text"))
+    cut = F.slice(words, (F.pmod(i, F.lit(7)) + 1).cast("int"), (F.pmod(i, F.lit(5)) + 1).cast("int"))
+    return table(spark, d, "benchmark").select(F.array_join(cut, " ").alias("player_name"))
+
+
+def q_entity_mentions_any_length(spark: SparkSession, d: str) -> DataFrame:
+    """Names of any number of words in whole posts, by the path of a roster that is too
+    large to broadcast: a bitmap of the roster, then a join shuffled on the n-gram."""
+    posts = adapters.raw_posts(spark, d).select("post_id", "title")
+    return match_entities(posts, roster(passage_names(spark, d), "player_name"), "post_id", "title",
+                          broadcast_max_rows=0, any_length=True)
+
+
 # -- W2 F8 -------------------------------------------------------------------
 def q_next_start(spark: SparkSession, d: str) -> DataFrame:
     """Each purchase's next purchase time per user, or +7 days for the last one."""
@@ -103,6 +122,7 @@ QUERIES = {
     "latest_snapshot": q_latest_snapshot,
     "rolling_lookback_48h": q_rolling_lookback_48h,
     "entity_mentions": q_entity_mentions,
+    "entity_mentions_any_length": q_entity_mentions_any_length,
     "next_start": q_next_start,
     "interval_attribution": q_interval_attribution,
     "daily_summary": q_daily_summary,

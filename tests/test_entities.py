@@ -46,3 +46,60 @@ def test_shuffle_path_with_length_pruning_equals_broadcast_path(spark):
     b = match_entities(posts, names, "post_id", "title", broadcast_max_rows=1)
     rows = sorted(a.collect())
     assert len(rows) > 50 and rows == sorted(b.collect())
+
+
+def test_names_of_any_length_match_on_both_paths(spark):
+    titles = ["Nene and Karl Anthony Towns Junior the third", "nene", "", None, "Karl Anthony"]
+    names = ["Nene", "Karl Anthony Towns Junior", "Karl Anthony", "Absent Name", None, "Nene"]
+    docs = spark.createDataFrame(list(enumerate(titles)), "post_id long, title string")
+    r = roster(spark.createDataFrame([(n,) for n in names], "player_name string"), "player_name")
+    want = [(0, "Karl Anthony"), (0, "Karl Anthony Towns Junior"), (0, "Nene"), (1, "Nene"), (4, "Karl Anthony")]
+    for bound in (0, 1000):
+        got = match_entities(docs, r, "post_id", "title", broadcast_max_rows=bound, any_length=True)
+        assert sorted(tuple(x) for x in got.collect()) == want
+
+
+def test_empty_roster_matches_nothing(spark):
+    docs = spark.createDataFrame([(1, "LeBron James")], "post_id long, title string")
+    r = roster(spark.createDataFrame([], "player_name string"), "player_name")
+    for bound in (0, 1000):
+        for any_length in (False, True):
+            assert match_entities(docs, r, "post_id", "title", broadcast_max_rows=bound,
+                                  any_length=any_length).count() == 0
+
+
+def test_bitmap_keeps_every_member_and_drops_nine_of_ten_others(spark):
+    from hypeline.operators.membership import filter_words, may_contain, membership_words
+    keys = spark.range(20_000).selectExpr("concat('name ', id) AS k").union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    probes = spark.range(200_000).selectExpr("id", "concat('name ', id) AS k").union(spark.sql("SELECT -1L, NULL"))
+    n = filter_words(20_001)
+    words = membership_words(keys, "k", n)
+    assert words.count() <= n
+    left = may_contain(probes, "k", words, n)
+    assert left.columns == ["id", "k"]
+    assert left.where("id BETWEEN 0 AND 19999").count() == 20_000
+    assert left.where("id >= 20000").count() < 0.1 * 180_000
+    assert left.where("k IS NULL").count() == 0
+
+
+def test_full_bitmap_still_keeps_every_member(spark):
+    from hypeline.operators.membership import may_contain, membership_words
+    keys = spark.range(5_000).selectExpr("CAST(id AS STRING) AS k")
+    assert may_contain(keys, "k", membership_words(keys, "k", 2), 2).count() == 5_000
+
+
+def test_ngrams_that_reach_the_shuffle_fall_by_nine_tenths(spark):
+    from hypeline.functions.text import clean_title, ngrams, tokenize
+    from hypeline.operators.entities import in_roster
+    from hypeline.plans import adapters, queries
+    from pyspark.sql import functions as F
+    d = "/root/testdata/sf0.001"
+    names = roster(queries.passage_names(spark, d), "player_name")
+    posts = adapters.raw_posts(spark, d)
+    grams = posts.select(F.explode(ngrams(tokenize(F.lower(clean_title("title"))), 2, 5)).alias("match_name"))
+    kept = in_roster(grams, names)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Python" not in plan
+    assert kept.count() < 0.1 * grams.count()
+    exact = grams.join(names, "match_name", "left_semi").count()
+    assert kept.join(names, "match_name", "left_semi").count() == exact

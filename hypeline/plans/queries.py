@@ -34,7 +34,7 @@ from hypeline.session import scratch_path
 from hypeline.sinks import append, insert_overwrite, materialize_table, merge_upsert, overwrite, read_table
 from hypeline.sources.landing import land_game_logs, land_posts, union_batches
 from hypeline.sources.schedule import flatten_schedule, has_key
-from hypeline.streaming import is_folder, land_stream
+from hypeline.streaming import is_folder, keep_latest, land_stream
 
 RUN_DT = _dt.date(2024, 1, 15)
 
@@ -656,6 +656,39 @@ def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
 QUERIES["stream_landing"] = q_stream_landing
 
 
+# -- W1 as a stream -----------------------------------------------------------------
+FETCHES = 3              # fetches of twelve days, ten days apart; the last is open-ended
+
+
+def land_fetch(spark: SparkSession, d: str, landing: str, k: int) -> None:
+    """Land fetch ``k`` of every post: a fetch repeats two days of the one before, with other counts."""
+    at = F.lit(adapters.POSTS_EPOCH).cast("timestamp_ntz")
+    day = lambda n: at + F.make_dt_interval(F.lit(n))
+    posts = adapters.raw_posts(spark, d).where(F.col("created_utc") >= day(10 * k))
+    if k < FETCHES - 1:
+        posts = posts.where(F.col("created_utc") < day(10 * k + 12))
+    load = F.lit(adapters.LOAD_TS + _dt.timedelta(days=k)).cast("timestamp_ntz")
+    (posts.withColumn("score", F.col("score") + k).withColumn("_loaded_at_utc", load)
+          .withColumn("created_utc", F.col("created_utc").cast("timestamp"))
+          .write.mode("append").parquet(landing))
+
+
+def q_stream_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Newest snapshot per post, kept by a stateful stream over overlapping fetches, the second of them landed twice."""
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("fetches", "snapshots", "snapshots_ckpt"))
+    for k in (0, 1, 1, 2):
+        land_fetch(spark, d, landing, k)
+        keep_latest(spark, landing, spark.read.parquet(landing).schema, target, ckpt, ["post_id"],
+                    delay="72 hours", partition_col="created_date")
+    out = read_table(spark, target)
+    return out.select("post_id", "subreddit", "score", "num_comments", "url", F.md5("title").alias("title_md5"),
+                      F.col("created_utc").cast("timestamp_ntz").alias("created_utc"), "created_date",
+                      F.col("_loaded_at_utc").cast("timestamp_ntz").alias("_loaded_at_utc"))
+
+
+QUERIES["stream_snapshots"] = q_stream_snapshots
+
+
 # -- S5 S12 F10: game-log landing -------------------------------------------------------
 def q_game_log_load(spark: SparkSession, d: str) -> DataFrame:
     """Three season-type batches (one lacking PLUS_MINUS, dates in three

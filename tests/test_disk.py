@@ -1,0 +1,145 @@
+"""A daily run leaves its tables on disk, and moves a post's text once per table that needs it elsewhere."""
+
+import datetime as dt
+import re
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from hypeline.operators import latest_snapshot
+from hypeline.operators.snapshot import latest_of_repeated
+from hypeline.plans import adapters, models, queries, summary
+from hypeline.plans.pipeline import run
+from hypeline.session import SHUFFLE_CLEANUP, checkpoint_root, scratch_path, scratch_scope, shuffles_dropped
+from hypeline.sinks import merge_upsert, read_table
+from hypeline.sinks.tables import each, list_names, table_exists
+
+from test_titles import SF, outputs
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def beyond_broadcast(monkeypatch):
+    monkeypatch.setattr(models, "fits_broadcast", lambda df: False)
+
+
+def test_newest_rows_stay_where_they_are(spark, monkeypatch):
+    at = lambda n: dt.datetime(2025, 12, n, 10)
+    loads = [("a", "x", at(1)), ("a", "y", at(2)), ("b", "x", at(1)), (None, "x", None), (None, "y", at(3)), ("c", "x", None)]
+    schema = "k string, v string, _loaded_at_utc timestamp"
+    df = spark.createDataFrame(loads, schema)
+    got = latest_of_repeated(df, ["k"])
+    assert "hashpartitioning" not in plan(got) and rows(got) == rows(latest_snapshot(df, ["k"]))
+    tied = spark.createDataFrame([*loads, ("a", "b", at(2)), ("c", "b", None), ("d", "z", at(9)), ("d", "z", at(9))], schema)
+    got = latest_of_repeated(tied, ["k"], deal_by=["v"])
+    assert rows(got) == rows(latest_snapshot(tied, ["k"]))
+    assert [r.v for r in got.where("k = 'a' or k = 'c'").collect()] == ["b", "b"]
+
+
+def test_a_text_is_moved_once_to_the_day_it_is_written(spark, scratch, monkeypatch):
+    gl = models.stage_game_logs(adapters.raw_game_logs(spark, SF))
+    path = scratch("posts")
+    models.stage_posts(adapters.raw_posts(spark, SF)).write.parquet(path)
+    undated = models.stage_posts(adapters.raw_posts(spark, SF)).where("post_id < '3'").selectExpr(
+        "concat('n', post_id) post_id", "subreddit", "title", "score", "num_comments", "url", "body",
+        "cast(null as timestamp) created_utc", "cast(null as date) created_date", "_loaded_at_utc")
+    undated.write.mode("append").parquet(path)
+    posts = spark.read.parquet(path)
+    want = models.player_mentions(posts, gl, stage_matches=True, unique_posts=True, nested=True)
+    kept = rows(want)
+    monkeypatch.setattr(models, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(models, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(models, "CELL_BYTES", 2000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = models.player_mentions(posts, gl, stage_matches=True, unique_posts=True, nested=True)
+        moved = [line for line in plan(got).splitlines() if "Exchange hashpartitioning" in line]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(moved) == 1 and "created_date" in moved[0]
+    assert got.columns == want.columns and want.where("created_date is null").count() > 0
+    assert rows(got) == kept
+
+
+def test_a_run_leaves_its_tables_only(spark, scratch, beyond_broadcast):
+    root, folder = scratch("wh"), f"{checkpoint_root(spark)}/hypeline"
+    queries.land_static_fixture(spark, SF, root)
+    before = set(list_names(spark, folder))
+    paths = {}
+    for k, day in enumerate(queries.cycle_days(spark, SF)[:2]):
+        queries.land_post_load(spark, SF, root, k, dt.datetime.combine(day + dt.timedelta(days=1), dt.time(10)))
+        paths = run(spark, root, day, full_refresh=(k == 0), games_from=adapters.GAMES_FROM, posts_from=adapters.POSTS_FROM)
+    assert set(list_names(spark, folder)) - before <= {"merge-staged"}
+    assert spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
+    staged = read_table(spark, paths["stg_reddit_nba_posts"])
+    raw = spark.read.parquet(f"{root}/raw/reddit_nba_posts")
+    newest = raw.groupBy("post_id").agg(F.max("_loaded_at_utc").alias("_loaded_at_utc"), F.max("score").alias("score"))
+    assert rows(staged.select("post_id", "_loaded_at_utc", "score")) == rows(newest)      # the score grows with every load
+    whole = models.player_daily_summary(
+        read_table(spark, paths["stg_nba_game_logs"]), read_table(spark, paths["stg_nba_schedule"]),
+        read_table(spark, paths["int_reddit_player_mentions"]), adapters.GAMES_FROM, adapters.POSTS_FROM)
+    got = read_table(spark, paths["fct_player_daily_summary"]).select(*whole.columns)
+    assert got.count() == whole.count() > 0 and whole.exceptAll(got).count() == 0
+
+
+def test_scratch_copies_go_with_their_step(spark):
+    outer = scratch_path(spark, "outer")
+    spark.range(1).write.parquet(outer)
+    with pytest.raises(ZeroDivisionError):
+        with scratch_scope(spark):
+            inner = scratch_path(spark, "inner")
+            spark.range(1).write.parquet(inner)
+            1 / 0
+    assert table_exists(spark, outer) and not table_exists(spark, inner)
+
+
+def test_shuffle_files_go_with_their_query(spark, scratch):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+", str(disk.getAllFiles())))
+    before, path = files(), scratch("t")
+    with shuffles_dropped(spark):
+        spark.range(1000).selectExpr("id % 7 k", "id").hint("rebalance", "k").write.partitionBy("k").parquet(path)
+    for _ in range(100):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and spark.read.parquet(path).count() == 1000
+
+
+def test_moved_days_send_no_interval(spark):
+    schema = "game_id string, player_name string, game_date date, game_start_utc timestamp"
+    day = lambda n: dt.date(2025, 12, n)
+    at = dt.datetime(2025, 12, 5, 8, 0, 0, 1)
+    same = [("a", None, day(1), at), (None, "a", day(2), None), ("b", "b", day(3), at), ("b", "b", day(3), at), ("z", "z", None, at)]
+    frame = lambda *more: spark.createDataFrame([*same, *more], schema)
+    days = lambda now, before: {r[0] for r in summary.moved_days(now, before).collect()}
+    assert days(frame(), frame()) == set()
+    assert days(frame(("c", "c", day(4), at)), frame()) == days(frame(), frame(("c", "c", day(4), at))) == {day(4)}
+    assert days(frame(("b", "b", day(3), at)), frame()) == {day(3)}
+    assert days(frame(("y", "z", None, at)), frame()) == {None}
+    moved = spark.createDataFrame([(None, "a", day(1), at), *same[1:2], *same[2:4], ("z", "z", None, at.replace(microsecond=2))], schema)
+    assert days(moved, frame()) == {day(1), None}
+    for names in outputs(summary.moved_days(frame(), frame()), "Exchange"):
+        assert "game_id" not in names and "__digest" not in names
+
+
+def test_merged_batches_are_written_where_they_lie(spark, scratch):
+    col = each("p")
+    one = spark.createDataFrame([("x", ["a", "b"], dt.date(2025, 12, 1)), ("y", ["a"], dt.date(2025, 12, 2))], f"k string, {col} array<string>, d date")
+    two = spark.createDataFrame([("x", ["b"], dt.date(2025, 12, 1)), ("z", ["c"], dt.date(2025, 12, 3))], one.schema)
+    paths = {dealt: scratch("t") for dealt in (True, False)}
+    for dealt, path in paths.items():
+        for batch in (one, two):
+            assert merge_upsert(spark, batch, path, ["k", "p"], "d", ["k"], partition_follows_key=True, nested="p", dealt=dealt)
+    got = read_table(spark, paths[True])
+    assert rows(got) == rows(read_table(spark, paths[False])) and got.count() == 4

@@ -13,7 +13,7 @@ from hypeline.plans import adapters, models, queries, summary
 from hypeline.plans.pipeline import run
 from hypeline.session import SHUFFLE_CLEANUP, checkpoint_root, scratch_path, scratch_scope, shuffles_dropped
 from hypeline.sinks import merge_upsert, read_table
-from hypeline.sinks.tables import each, list_names, table_exists
+from hypeline.sinks.tables import each, list_names, materialize_in_passes, table_built, table_exists
 
 from test_titles import SF, outputs
 
@@ -143,3 +143,37 @@ def test_merged_batches_are_written_where_they_lie(spark, scratch):
             assert merge_upsert(spark, batch, path, ["k", "p"], "d", ["k"], partition_follows_key=True, nested="p", dealt=dealt)
     got = read_table(spark, paths[True])
     assert rows(got) == rows(read_table(spark, paths[False])) and got.count() == 4
+
+
+def test_a_table_is_written_in_passes_by_day(spark, scratch, monkeypatch):
+    monkeypatch.setattr(models, "PASS_ROWS", 10)
+    day = F.when(F.col("id") > 2, F.date_add(F.lit(dt.date(2025, 12, 1)), F.least(F.col("id") % 9, F.lit(6)).cast("int")))
+    df = spark.range(60).select("id", day.alias("d"))
+    passes = models.day_passes(df, "d")
+    assert 2 < len(passes) <= 6 and models.day_passes(df.where("id < 15"), "d") == models.day_passes(df.where("false"), "d") == []
+    assert all(df.where(p).count() for p in passes)
+    assert sum(df.where(p).count() for p in passes) == 60
+    path = scratch("t")
+    df.limit(7).write.partitionBy("d").parquet(path)                     # an older table goes whole
+    materialize_in_passes(df, path, passes, ["d"], ["id"], dealt=True)
+    assert table_built(spark, path) and rows(read_table(spark, path, df.schema)) == rows(df)
+    stop = F.when(F.col("id") == 59, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id")
+    bad = df.select(stop, "d")
+    with pytest.raises(Exception, match="lost"):
+        materialize_in_passes(bad, path, [*[p & (F.col("id") < 50) for p in passes], F.col("id") >= 50], ["d"], ["id"])
+    assert not table_built(spark, path)                                  # the next run rebuilds it
+
+
+def test_mentions_of_a_pass_read_and_move_its_days_only(spark, scratch, beyond_broadcast, monkeypatch):
+    monkeypatch.setattr(models, "PASS_ROWS", 20)
+    gl = models.stage_game_logs(adapters.raw_game_logs(spark, SF))
+    path = scratch("posts")
+    models.stage_posts(adapters.raw_posts(spark, SF)).write.partitionBy("created_date").parquet(path)
+    posts = spark.read.parquet(path)
+    me = models.player_mentions(posts, gl, stage_matches=True, unique_posts=True, nested=True)
+    passes = models.day_passes(posts, "created_date")
+    assert len(passes) > 2
+    for p in passes:
+        of_pass = me.where(p)
+        assert re.search(r"PartitionFilters: \[[^\]]*created_date", of_pass._jdf.queryExecution().toString())
+    assert rows(me) == sorted(r for p in passes for r in rows(me.where(p)))
